@@ -176,7 +176,7 @@ def features(sounds: DataFrame, media_col: str = "media") -> DataFrame:
     new = ["samples", "tensors", "segments", "feature"]
     if clash := {c.lower() for c in sounds.columns} & set(new):
         raise ValueError(f"there are columns {sorted(clash)} already")
-    schema = T.StructType(sounds.schema.fields)
+    schema = T.StructType(list(sounds.schema.fields))
     for name, kind in zip(new, (T.BinaryType(), TENSORS, SEGMENTS, T.StringType()), strict=True):
         schema = schema.add(name, kind)
     at = sounds.columns.index(media_col)
