@@ -11,7 +11,7 @@ that share a band are candidates and are verified by the exact similarity of the
 In a band's bucket of more than SMALL nodes a star around one node is verified first, with another centre in each band;
 afterwards the pairs of that bucket whose classes still differ are verified as well, so no candidate is lost.
 
-Nulls count as empty texts. Rows without an id get the class of their copies, or null if none has an id.
+Nodes are named by 64 bits of a cryptographic hash of the word sequence. Nulls count as empty texts. Rows without an id get the class of their copies, or null if none has an id.
 """
 from __future__ import annotations
 
@@ -28,6 +28,8 @@ from .words import WORD, mix, occurrences, shingles, word_hashes
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 6
 SMALL = 16
+#: Nodes that occur in candidate pairs are broadcast (8 bytes each) up to this many to pick their multisets.
+BROADCAST_NODES = 1_000_000
 
 _G1, _G2, _G3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -107,18 +109,23 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n_bands: int, rows: int)
             nodes = []
             for t in texts:
                 words = t.translate(WORD).split()
-                nodes.append(hashlib.blake2b(b" ".join(words) if words else b"\0" + t, digest_size=16).digest())
+                nodes.append(int.from_bytes(hashlib.blake2b(b" ".join(words) if words else b"\0" + t, digest_size=8).digest(), "big", signed=True))
             h, offsets = word_hashes(texts)
             bags = [bag(h[i:j]) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
             found = bands(signatures([x[:2] for x in bags], n_bands * rows), n_bands, rows)
             keys = [list(f) if len(x[0]) else [] for f, x in zip(found, bags, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array([len(x[2]) // 4 for x in bags], pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array([x[2] for x in bags], pa.binary())], ["_id", "_node", "_size", "_bands", "_members"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array([len(x[2]) // 4 for x in bags], pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array([x[2] for x in bags], pa.binary())], ["_id", "_node", "_size", "_bands", "_members"])
 
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _node binary, _size int, _bands array<long>, _members binary")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _node long, _size int, _bands array<long>, _members binary")
 
 
-def _verified(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
-    """Of the distinct pairs (a, b) those with at least this similarity."""
+def _verified(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Of the distinct pairs (a, b) those with at least this similarity. Only multisets of nodes in pairs are moved."""
+    pairs = materialise(pairs, "pairs")
+    nodes = materialise(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "paired")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    members = materialise(sketches.select("_node", "_members").join(nodes, "_node", "left_semi").groupBy("_node").agg(F.first("_members").alias("_members")), "members")
     a = members.select(F.col("_node").alias("a"), F.col("_members").alias("_ma"))
     b = members.select(F.col("_node").alias("b"), F.col("_members").alias("_mb"))
     measure = F.arrow_udf(lambda x, y: pa.array([similarity(p, q) for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True)], pa.float64()), "double")
@@ -160,9 +167,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     bounded_batches(docs.sparkSession)
     sketches = materialise(sketch(docs, id_col, text_col, n_bands, rows), "bags")
     nodes = sketches.groupBy("_node").agg(F.min("_id").alias("_least"), F.first("_size").alias("_size"))
-    # one row of each node: copies have equal bags; the one that stays is any of them
-    once = materialise(sketches.where(F.size("_bands") > 0).dropDuplicates(["_node"]).select("_node", "_size", "_bands", "_members"), "nodes")
-    members = once.select("_node", "_members")
+    once = sketches.where(F.size("_bands") > 0).select("_node", "_size", "_bands").dropDuplicates(["_node"])  # copies have equal bags
     in_band = once.select(F.explode("_bands").alias("_band"), "_node", "_size")
     order = F.xxhash64("_band", "_node")
     buckets = in_band.groupBy("_band").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(order.alias("o"), F.col("_node").alias("node"), F.col("_size").alias("size"))).alias("_c")).where("_n > 1")
@@ -170,7 +175,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     star = shared.select(F.col("_c.node").alias("a"), F.col("_node").alias("b"), F.col("_c.size").alias("sa"), F.col("_size").alias("sb"))
     x, y = (shared.where(F.col("_n") <= SMALL).select("_band", F.col("_node").alias(n), F.col("_size").alias(s)) for n, s in (("a", "sa"), ("b", "sb")))
     few = x.join(y, "_band").where("a > b").select("a", "b", "sa", "sb")
-    links = materialise(_verified(_distinct_pairs(star.unionByName(few), least), members, least), "verified")
+    links = materialise(_verified(_distinct_pairs(star.unionByName(few), least), sketches, least), "verified")
     found = components(links)
     # buckets that are still of several classes: verify what remains between them
     roots = shared.where(F.col("_n") > SMALL).join(found, "_node", "left").select("_band", "_node", "_size", F.coalesce("_root", "_node").alias("_root"))
@@ -178,7 +183,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     rest = materialise(roots.join(mixed, "_band"), "rest")
     x, y = (rest.select("_band", F.col("_node").alias(n), F.col("_size").alias(s), F.col("_root").alias(r)) for n, s, r in (("a", "sa", "ra"), ("b", "sb", "rb")))
     between = x.join(y, "_band").where(F.col("ra") > F.col("rb"))
-    more = materialise(_verified(_distinct_pairs(between, least), members, least), "verified")
+    more = materialise(_verified(_distinct_pairs(between, least), sketches, least), "verified")
     if more.limit(1).count():
         found = components(links.unionByName(more))
     named = nodes.join(found, "_node", "left").select("_node", "_least", F.coalesce("_root", "_node").alias("_root"))
