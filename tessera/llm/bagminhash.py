@@ -8,8 +8,10 @@ is their weighted Jaccard similarity. A process is followed only as long as it c
 
 Signatures are cut into bands. Equal texts (equal word sequences; texts without words: equal strings) are one node. Nodes
 that share a band are candidates and are verified by the exact similarity of their multisets; linked nodes form classes.
-In a band's bucket of more than SMALL nodes a star around one node is verified first, with another centre in each band;
-afterwards the pairs of that bucket whose classes still differ are verified as well, so no candidate is lost.
+In a band's bucket a star around one node is verified first, with another centre in each band; afterwards the pairs of the
+bucket whose classes still differ are verified as well, so no candidate is lost, and pairs inside a class aren't made.
+Of these, first those with the bucket's most central node are verified; nodes and pairs that share too few members with any other
+node to be linked are passed over, which loses nothing.
 
 Nodes are named by 64 bits of a cryptographic hash of the word sequence. Nulls count as empty texts. Rows without an id get the class of their copies, or null if none has an id.
 """
@@ -27,9 +29,12 @@ from .words import WORD, mix, occurrences, shingles, word_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 6
-SMALL = 16
 #: Nodes that occur in candidate pairs are broadcast (8 bytes each) up to this many to pick their multisets.
 BROADCAST_NODES = 1_000_000
+#: Groups of members whose counts bound what two nodes can have in common.
+PARTS = 64
+#: Bounds on whole numbers of members are lowered by this, for products that are rounded up.
+SLACK = 1e-6
 
 _G1, _G2, _G3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -158,10 +163,38 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _distinct_pairs(pairs: DataFrame, least: float) -> DataFrame:
     """Each pair once; pairs whose sizes rule the similarity out go."""
-    fit = F.least("sa", "sb") >= F.greatest("sa", "sb") * F.lit(least)
+    fit = F.least("sa", "sb") >= F.greatest("sa", "sb") * F.lit(least) - SLACK
     return pairs.where(fit & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _between(shared: DataFrame, found: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """(_band, _node, _size, _common, _parts, _root, _centre) of the nodes in bands of several classes that can have a link to another class.
+    _common is how many members a node shares with any other of these; a link takes least of the larger node's members, so nodes
+    with fewer go; _parts counts them by PARTS groups of hashes. The bucket's centre is the node that shares the most of its members."""
+    roots = shared.join(found, "_node", "left").select("_band", "_node", "_size", F.coalesce("_root", "_node").alias("_root"))
+    mixed = roots.groupBy("_band").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_band")
+    rest = materialise(roots.join(mixed, "_band"), "rest")
+    nodes = materialise(rest.select("_node").distinct(), "mixed")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    bags = sketches.select("_node", "_members").join(nodes, "_node", "left_semi").groupBy("_node").agg(F.first("_members").alias("_members"))
+
+    def members(it):
+        for b in record_batches(it, 1 << 20):
+            got = [np.frombuffer(x, np.uint32) for x in b.column(1).to_pylist()]
+            each = np.concatenate(got).astype(np.int64) if got else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]))), pa.array(each)], ["_node", "_member"])
+
+    each = materialise(bags.mapInArrow(members, "_node long, _member long"), "members")
+    often = each.groupBy("_member").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_member")
+    group = F.col("_member") % PARTS
+    parts = F.array(*[F.count_if(group == i).cast("short") for i in range(PARTS)])
+    common = each.join(often, "_member").groupBy("_node").agg(F.count(F.lit(1)).alias("_common"), parts.alias("_parts"))
+    left = rest.join(common, "_node").where(F.col("_common") >= F.col("_size") * F.lit(least) - SLACK)
+    centre = left.groupBy("_band").agg(F.max(F.struct((F.col("_common") / F.col("_size")).alias("share"), F.col("_node").alias("node")))["node"].alias("_c"))
+    return materialise(left.join(centre, "_band").withColumn("_centre", F.col("_node") == F.col("_c")).drop("_c"), "left")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, class_id) of each row: class_id is the least id of its near duplicates, its own if it has none."""
     bounded_batches(docs.sparkSession)
@@ -173,19 +206,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     buckets = in_band.groupBy("_band").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(order.alias("o"), F.col("_node").alias("node"), F.col("_size").alias("size"))).alias("_c")).where("_n > 1")
     shared = materialise(in_band.join(buckets, "_band"), "buckets")  # only nodes that share a band with another
     star = shared.select(F.col("_c.node").alias("a"), F.col("_node").alias("b"), F.col("_c.size").alias("sa"), F.col("_size").alias("sb"))
-    x, y = (shared.where(F.col("_n") <= SMALL).select("_band", F.col("_node").alias(n), F.col("_size").alias(s)) for n, s in (("a", "sa"), ("b", "sb")))
-    few = x.join(y, "_band").where("a > b").select("a", "b", "sa", "sb")
-    links = materialise(_verified(_distinct_pairs(star.unionByName(few), least), sketches, least), "verified")
+    links = materialise(_verified(_distinct_pairs(star, least), sketches, least), "verified")
     found = components(links)
-    # buckets that are still of several classes: verify what remains between them
-    roots = shared.where(F.col("_n") > SMALL).join(found, "_node", "left").select("_band", "_node", "_size", F.coalesce("_root", "_node").alias("_root"))
-    mixed = roots.groupBy("_band").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_band")
-    rest = materialise(roots.join(mixed, "_band"), "rest")
-    x, y = (rest.select("_band", F.col("_node").alias(n), F.col("_size").alias(s), F.col("_root").alias(r)) for n, s, r in (("a", "sa", "ra"), ("b", "sb", "rb")))
-    between = x.join(y, "_band").where(F.col("ra") > F.col("rb"))
-    more = materialise(_verified(_distinct_pairs(between, least), sketches, least), "verified")
-    if more.limit(1).count():
-        found = components(links.unionByName(more))
+    for central in (True, False):  # what remains between classes: against a bucket's most central node, then all of it
+        rest = _between(shared, found, sketches, least)
+        x, y = (rest.select("_band", F.col("_node").alias(n), F.col("_size").alias(s), F.col("_common").alias(c), F.col("_parts").alias(p), F.col("_root").alias(r), F.col("_centre").alias(z)) for n, s, c, p, r, z in (("a", "sa", "ca", "pa", "ra", "za"), ("b", "sb", "cb", "pb", "rb", "zb")))
+        needed = (F.col("sa") + F.col("sb")) * F.lit(least / (1 + least)) - SLACK  # members that a link has in common
+        fit = (F.least("ca", "cb") >= needed) & (sum((F.least(F.col("pa")[i], F.col("pb")[i]).cast("int") for i in range(PARTS)), F.lit(0)) >= needed)
+        differ = (F.col("ra") != F.col("rb")) & F.col("za") if central else F.col("ra") > F.col("rb")
+        pairs = x.hint("merge").join(y, (x["_band"] == y["_band"]) & differ & fit)
+        links = materialise(links.unionByName(_verified(_distinct_pairs(pairs, least), sketches, least)), "verified")
+        found = components(links)
     named = nodes.join(found, "_node", "left").select("_node", "_least", F.coalesce("_root", "_node").alias("_root"))
     ids = named.groupBy("_root").agg(F.min("_least").alias("_class"))
     by_node = named.join(ids, "_root").select("_node", "_class")
