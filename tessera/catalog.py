@@ -1,10 +1,24 @@
-"""The engine's registered queries."""
+"""The engine's registered queries and their SQL for another engine."""
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from .plans import linkage
 
-def oracle_sql() -> dict:
-    return {}
+
+def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return linkage.run(spark, name, {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in linkage.BASE})
+
+    run.__name__ = f"er_{name}"
+    return run
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f"er_{n}": _query(n) for n in linkage.QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {f"er_{n}": linkage.oracle(n) for n in linkage.QUERIES}
