@@ -42,7 +42,7 @@ _GAP = re.compile(r"[\W_]+")
 
 def _letters(m: re.Match) -> str:
     x = m[0]
-    return x.translate(SUBSTITUTES) if sum(c.isalpha() for c in x) * 2 >= len(x) else x
+    return x.translate(SUBSTITUTES) if sum(c.isalpha() for c in x) * 3 >= len(x) else x
 
 
 def fold(text: str) -> str:
