@@ -13,6 +13,9 @@ from .common import bounded_batches, held_out, table
 #: Names of tokenizer files; their place is found by the package that has them.
 WORD_TOKENIZER, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 
+#: Ids of target documents are broadcast (8 bytes each) up to this many; beyond that they are joined by hash partitions.
+BROADCAST_IDS = 1_000_000
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted: nnPU learnt from trusted positives and unlabelled documents."""
@@ -66,6 +69,8 @@ def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, losses and their difference; the target is what is labelled of high quality and not held out."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & ~held_out("doc_id")).select(F.col("doc_id").alias("_good")).distinct()
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
     return ngram_lm.score(marked, F.col("_good").isNotNull(), scored=docs)
 
