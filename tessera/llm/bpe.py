@@ -7,7 +7,7 @@ the longest beginning of a token that the text ends with, so its states are fini
 """
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 
 class Merges:
@@ -15,32 +15,76 @@ class Merges:
 
     def __init__(self, tokens: set[str], rank: Callable[[str, str], int | None]):
         self.rank = rank
-        self._fits: dict[tuple[str, str], bool] = {}
+        self.known: dict[tuple[str, str], bool] = {}
+        self.edges: tuple[dict[str, list[tuple[int, str]]], ...] = ({}, {})  # [0] and [-1]
         self.tokens = {t for t in tokens if len(t) == 1 or self.encode(t) == [t]}
         self.beginnings = {t[:n] for t in self.tokens for n in range(1, len(t))}
         self.longest = max(map(len, self.tokens), default=1)
 
-    def encode(self, text: str) -> list[str]:
-        """The definition: merge the neighbours of least rank, leftmost first, until none merge."""
+    def steps(self, text: str) -> Iterator[tuple[int, int, list[str]]]:
+        """The definition: merge the neighbours of least rank, leftmost first, until none merge. Rank, place, parts then."""
         parts = list(text)
-        while len(parts) > 1:
+        ranks = [self.rank(a, b) for a, b in zip(parts, parts[1:], strict=False)]
+        while True:
             best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.rank(parts[i], parts[i + 1])
+            for i, r in enumerate(ranks):
                 if r is not None and (best is None or r < best):
                     best, at = r, i
             if best is None:
-                break
+                return
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = self.rank(parts[at - 1], parts[at])
+            if at < len(ranks):
+                ranks[at] = self.rank(parts[at], parts[at + 1])
+            yield best, at, parts
+
+    def encode(self, text: str) -> list[str]:
+        parts = list(text)
+        for _, _, parts in self.steps(text):  # noqa: B007
+            pass
         return parts
 
+    def edge(self, token: str, end: int) -> list[tuple[int, str]]:
+        """Ranks of the merges that make a token, in their order, and the part at its beginning (0) or end (-1) after each."""
+        found = self.edges[end].get(token)
+        if found is None:
+            found = self.edges[end][token] = [(r, parts[end]) for r, _, parts in self.steps(token)]
+        return found
+
     def fits(self, a: str, b: str) -> bool:
+        """Whether a and b, tokens that encode to themselves, do so together.
+
+        Merges within a and within b go on in their own order, the lesser rank first and a's first if ranks are equal, unless the
+        parts that meet at the border merge before.
+        """
         key = (a, b)
-        found = self._fits.get(key)
-        if found is None:
-            if len(self._fits) > 2_000_000:
-                self._fits.clear()
-            found = self._fits[key] = self.encode(a + b) == [a, b]
+        found = self.known.get(key)
+        if found is not None:
+            return found
+        if len(self.known) > 2_000_000:
+            self.known.clear()
+        ends, begins, i, j = self.edge(a, -1), self.edge(b, 0), 0, 0
+        x, y = a[-1], b[0]
+        across = self.rank(x, y)
+        while True:
+            p = ends[i][0] if i < len(ends) else None
+            q = begins[j][0] if j < len(begins) else None
+            if across is not None and (p is None or across < p) and (q is None or across <= q):
+                found = False
+                break
+            if p is None and q is None:
+                found = True
+                break
+            if q is None or p is not None and p <= q:
+                new, i = (ends[i][1], y), i + 1
+            else:
+                new, j = (x, begins[j][1]), j + 1
+            if new != (x, y):
+                x, y = new
+                across = self.rank(x, y)
+        self.known[key] = found
         return found
 
 
@@ -104,28 +148,54 @@ class CountTransducer:
 
 
 class Segmenter:
-    """The encoding itself: the shortest path over the lattice of tokens in which neighbours fit."""
+    """The encoding itself: the shortest path over the lattice of tokens in which neighbours fit.
+
+    Arcs between neighbours that don't fit weigh infinitely much, and only one path is lighter. The search goes along it depth
+    first, longest token first, and steps back where no arc fits. A place has one path that leads to it, so a place
+    that has failed once is never entered again: time is linear in the text.
+    """
 
     def __init__(self, merges: Merges):
         self.m = merges
+        self.kinds = {t: (t in merges.beginnings) + 2 * (t in merges.tokens) for t in merges.beginnings | merges.tokens}
+        self.shorter: dict[str, str | None] = {}  # the next arc to try from the same place
+        for t in merges.tokens:
+            self.shorter[t] = next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in merges.tokens), t[0] if len(t) > 1 else None)
+
+    def longest(self, text: str, i: int) -> str:
+        """The longest token at place i; an unknown symbol is a token of its own."""
+        kinds = self.kinds
+        found = grown = text[i]
+        kind = kinds.get(grown, 0)
+        for c in text[i + 1 : i + self.m.longest]:
+            if not kind & 1:
+                break
+            grown += c
+            kind = kinds.get(grown, 0)
+            if kind & 2:
+                found = grown
+        return found
 
     def tokens(self, text: str) -> list[str]:
-        m, n = self.m, len(text)
-        last: list[str | None] = [None] * (n + 1)
-        reach = 1  # symbols that the token at this place can begin earlier
-        for i in range(1, n + 1):
-            found = text[i - 1]
-            for k in range(min(reach, i), 0, -1):
-                t = text[i - k : i]
-                if t in m.tokens and (i == k or m.fits(last[i - k], t)):  # type: ignore[arg-type]
-                    found = t
-                    break
-            last[i] = found
-            reach = min(reach + 1, m.longest)
-            while reach > 1 and text[max(0, i - reach + 1) : i] not in m.beginnings:
-                reach -= 1
-        out, i = [], n
-        while i:
-            out.append(last[i])
-            i -= len(last[i])  # type: ignore[arg-type]
-        return out[::-1]  # type: ignore[return-value]
+        n, i, out, dead, known, shorter = len(text), 0, [], set(), self.m.known, self.shorter
+        before: str | None = None
+        t: str | None = self.longest(text, 0) if text else None
+        while i < n:
+            while t is not None:
+                if i + len(t) not in dead:
+                    if before is None or (known[before, t] if (before, t) in known else self.m.fits(before, t)):
+                        break
+                t = shorter.get(t)
+            if t is None:  # a dead end: step back
+                dead.add(i)
+                last = out.pop()
+                i -= len(last)
+                before = out[-1] if out else None
+                t = shorter.get(last)
+                continue
+            out.append(t)
+            i += len(t)
+            before = t
+            if i < n:
+                t = self.longest(text, i)
+        return out

@@ -5,7 +5,8 @@ fallback for characters without a piece. An arc of the piece machine goes from o
 infinity if the two aren't neighbours in the model's encoding (its merges would join them otherwise). Composed with an
 input this is a lattice over the input's places; the shortest path in the tropical semiring is the encoding.
 
-Pieces never have a blank sign after another character, so the lattice is cut at blanks and words are kept in memory.
+Pieces never have a blank sign after another character, so the lattice is cut at blanks, and before marks that no piece has
+after a letter or digit. Words met lately are kept in memory, in two generations of bounded size.
 Nulls count as empty texts, which have no piece. Decoding gives the text back; only U+2581 itself comes back as a blank.
 """
 from __future__ import annotations
@@ -53,7 +54,7 @@ def _fields(data: bytes) -> Iterable[tuple[int, int | bytes]]:
 class Pieces:
     """The compiled model at path."""
 
-    KEEP = 500_000
+    KEEP = 400_000
 
     def __init__(self, path: str):
         import struct
@@ -77,9 +78,21 @@ class Pieces:
         self.bytes = {int(p[1:-1], 16): i for i, (p, k) in enumerate(kinds) if k == BYTE}
         order = {p: r for r, p in enumerate(sorted(scores, key=lambda p: -scores[p]))}
         self.path = Segmenter(Merges(set(ids), lambda a, b: order.get(a + b)))
-        line = "" if any("\n" in p for p in ids) else "\n"
-        self.cut = re.compile(f"{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+" + (f"|{line}" if line else ""))
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.cut = re.compile(self.parts(), re.DOTALL)
+        self.known: dict[str, tuple[int, ...]] = {}  # words met lately; once there are KEEP, they are the older ones
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def parts(self) -> str:
+        """A pattern of the parts that no piece goes across: words, and within them letters or digits before a mark."""
+        line = "" if any("\n" in p for p in self.ids) else "\n"
+        before: dict[str, set[str]] = {c: set() for c in map(chr, range(33, 127)) if not c.isalnum()}  # what a mark follows in a piece
+        for p in self.ids:
+            for a, b in zip(p, p[1:], strict=False):
+                if a.isalnum() and b in before:
+                    before[b].add(a)
+        marks = ["[" + re.escape("".join(c for c, s in before.items() if not s)) + "]"]
+        marks += [f"(?<![{re.escape(''.join(sorted(s)))}])" + re.escape(c) for c, s in before.items() if s]
+        return rf"{BLANK}*+[^\W_]++(?={'|'.join(marks)})|{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+" + (f"|{line}" if line else "")
 
     def word(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
@@ -93,12 +106,12 @@ class Pieces:
             return []
         normal = (BLANK if self.prefix else "") + text.replace(" ", BLANK)
         if len(self.known) > self.KEEP:
-            self.known.clear()
-        known, out = self.known, []
+            self.known, self.older = {}, self.known
+        known, older, out = self.known, self.older, []
         for w in self.cut.findall(normal):
             ids = known.get(w)
             if ids is None:
-                ids = self.word(w)
+                ids = older.get(w) or self.word(w)
                 if len(w) <= 64:
                     known[w] = ids
             out.extend(ids)
