@@ -7,16 +7,18 @@ tests run in another engine. Scores are rounded before they are ranked, and ever
 from __future__ import annotations
 
 import re
+from collections.abc import Container
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import MULTIPLIERS, hash01_udf
+from ..functions.similarity import score_udf
 
 TOP, PRUNE, MAX_DF, MAX_DF_SHARE, FOLDS, SAMPLE, THRESHOLD, FLOOR = 3, 0.75, 400, 0.003, 5, 0.3, 0.5, 0.1
 
 #: Spellings: Spark, DuckDB.
-WORDS = {"UNNEST": ("explode", "unnest"), "SPLIT": ("split", "string_split"), "STRING": ("string", "varchar"), "[ALL]": ("", ", 'g'"), "MEDIAN": ("percentile", "quantile_cont")}
+WORDS = {"UNNEST": ("explode", "unnest"), "SPLIT": ("split", "string_split"), "STRING": ("string", "varchar"), "[ALL]": ("", ", 'g'"), "MEDIAN": ("percentile", "quantile_cont"), "JARO_WINKLER": ("tessera_jaro_winkler", "100 * jaro_winkler_similarity")}
 
 
 def duck_hash(key: str, salt: int) -> str:
@@ -104,6 +106,8 @@ STEPS: dict[str, str] = {
         FROM {cand} c JOIN {raw} a ON c.s1 = a.key JOIN {raw} b ON c.cand = b.key LEFT JOIN (
             SELECT c.cand, c.s1, count(*) AS n FROM {cand} c JOIN {name_words} p ON p.key = c.s1 JOIN {name_words} q ON q.key = c.cand AND p.t = q.t GROUP BY c.cand, c.s1) w ON w.cand = c.cand AND w.s1 = c.s1
         JOIN (SELECT key, count(*) AS n FROM {name_words} GROUP BY key) x ON x.key = c.s1 JOIN (SELECT key, count(*) AS n FROM {name_words} GROUP BY key) y ON y.key = c.cand""",
+    "jaro_winkler": """
+        SELECT c.cand, c.s1, round(JARO_WINKLER(lower(a.business_name), lower(b.business_name)), 6) AS name_jw FROM {cand} c JOIN {raw} a ON c.s1 = a.key JOIN {raw} b ON c.cand = b.key""",
     "relative": """
         SELECT cand, s1, comb, round(comb - (max(comb) OVER c), 6) AS comb_rel, round(sc_name - (max(sc_name) OVER c), 6) AS name_rel, round(sc_addr - (max(sc_addr) OVER c), 6) AS addr_rel, rank() OVER (PARTITION BY cand ORDER BY comb DESC) AS comb_rank
         FROM (SELECT cand, s1, sc_name, sc_addr, round(0.6 * sc_name + 0.4 * sc_addr, 10) AS comb FROM {cand}) x WINDOW c AS (PARTITION BY cand)""",
@@ -173,7 +177,7 @@ STEPS: dict[str, str] = {
 BASE = ("region", "nation", "customer", "documents")
 #: Steps that are queries of their own, as er_<name>.
 QUERIES = (
-    "raw", "hash_folds", "sample", "idf_report", "candidates_name", "candidates_union", "labels", "blocking_recall", "candidate_stats", "reduction_ratio", "group_features", "partner", "exact_features", "relative", "one_owner", "threshold",
+    "raw", "hash_folds", "sample", "idf_report", "candidates_name", "candidates_union", "labels", "blocking_recall", "candidate_stats", "reduction_ratio", "group_features", "partner", "exact_features", "jaro_winkler", "relative", "one_owner", "threshold",
     "expected_f", "grid_search", "per_country", "macro_f05", "pair_confusion", "entity_outcomes", "error_causes", "recall_bins", "id_lists", "validate_findings", "stack_features", "dictionary",
 )
 #: Steps that are read more than once and costly: they are written once into the shared folder when the plan is run.
@@ -184,11 +188,12 @@ def needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", STEPS.get(name, ""))))
 
 
-def ordered(name: str) -> list[str]:
-    """The steps that name needs, each after those it needs itself."""
+def ordered(name: str, given: Container[str] = ()) -> list[str]:
+    """The steps that name needs, each after those it needs itself; what is given needs none."""
     out: list[str] = []
     for n in needs(name):
-        out += [m for m in ordered(n) if m not in out]
+        if n not in given:
+            out += [m for m in ordered(n, given) if m not in out]
     return [*out, name] if name in STEPS else out
 
 
@@ -210,8 +215,9 @@ def run(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFra
     from ..sources.scratch import written
 
     spark.udf.register("tessera_hash01", hash01_udf())
+    spark.udf.register("tessera_jaro_winkler", score_udf("jaro_winkler"))
     made = dict(tables)
-    for n in ordered(name):
+    for n in ordered(name, tables):
         if n not in made:
             made[n] = spark.sql(spelled(STEPS[n], False), **{x: made[x] for x in needs(n)})
             if n in WRITTEN and n != name:

@@ -16,10 +16,10 @@ def test_hash_goldens():
 
 
 def test_every_query_has_sql():
-    assert catalog.queries().keys() == catalog.oracle_sql().keys()
+    assert catalog.queries().keys() - catalog.WITHOUT_SQL.keys() == catalog.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", ["raw", "hash_folds", "candidates_union", "group_features", "expected_f", "macro_f05", "id_lists", "validate_findings"])
+@pytest.mark.parametrize("name", ["raw", "hash_folds", "candidates_union", "group_features", "jaro_winkler", "expected_f", "macro_f05", "id_lists", "validate_findings"])
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
     for t in linkage.BASE:
