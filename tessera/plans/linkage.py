@@ -7,18 +7,19 @@ tests run in another engine. Scores are rounded before they are ranked, and ever
 from __future__ import annotations
 
 import re
-from collections.abc import Container
+from collections.abc import Container, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import MULTIPLIERS, hash01_udf
 from ..functions.similarity import score_udf
+from ..sources.scratch import written
 
 TOP, PRUNE, MAX_DF, MAX_DF_SHARE, FOLDS, SAMPLE, THRESHOLD, FLOOR = 3, 0.75, 400, 0.003, 5, 0.3, 0.5, 0.1
 
 #: Spellings: Spark, DuckDB.
-WORDS = {"UNNEST": ("explode", "unnest"), "SPLIT": ("split", "string_split"), "STRING": ("string", "varchar"), "[ALL]": ("", ", 'g'"), "MEDIAN": ("percentile", "quantile_cont"), "JARO_WINKLER": ("tessera_jaro_winkler", "100 * jaro_winkler_similarity")}
+WORDS = {"UNNEST": ("explode", "unnest"), "SPLIT": ("split", "string_split"), "STRING": ("string", "varchar"), "[ALL]": ("", ", 'g'"), "MEDIAN": ("percentile", "quantile_cont"), "FIRST_OF": ("slice", "list_slice"), "JARO_WINKLER": ("tessera_jaro_winkler", "100 * jaro_winkler_similarity")}
 
 
 def duck_hash(key: str, salt: int) -> str:
@@ -33,7 +34,8 @@ TOKENS_OF = "SPLIT(trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' '[ALL])), ' '
 
 STEPS: dict[str, str] = {
     # Records of three sources, derived from customers and the words of English documents.
-    "words": f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, {WORD_LIST} AS w FROM {{documents}} WHERE lang = 'en'",
+    # Four words of a text go into the order, not the text.
+    "words": f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, w FROM (SELECT doc_id, FIRST_OF({WORD_LIST}, 1, 4) AS w FROM {{documents}} WHERE lang = 'en') x",
     "base": """
         SELECT c_custkey AS k, r_name AS country, 100 + (c_custkey * 7) % 900 AS house, 10000 + (c_custkey * 37) % 89999 AS zip, """
     + ", ".join(f"coalesce(nullif(AT(w, {i}), ''), 'x') AS w{i + 1}" for i in range(4))
@@ -210,21 +212,31 @@ def spelled(text: str, duck: bool) -> str:
     return text
 
 
-def run(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """The step name over tables, which hold the base tables and any step that stands for a planned one."""
-    from ..sources.scratch import written
-
+def prepare(spark: SparkSession, names: Iterable[str], tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """tables and the costly steps that names need, each written once, so that queries over the result share them."""
     spark.udf.register("tessera_hash01", hash01_udf())
     spark.udf.register("tessera_jaro_winkler", score_udf("jaro_winkler"))
+    made = dict(tables)
+    for name in names:
+        for n in ordered(name, made):
+            if n in WRITTEN and n != name:
+                made[n] = written(_plan(spark, n, made), n)
+    return made
+
+
+def _plan(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
     made = dict(tables)
     for n in ordered(name, tables):
         if n not in made:
             made[n] = spark.sql(spelled(STEPS[n], False), **{x: made[x] for x in needs(n)})
-            if n in WRITTEN and n != name:
-                made[n] = written(made[n], n)
     return made[name]
 
 
+def run(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """The step name over tables, which hold the base tables and any step that stands for a planned one."""
+    return _plan(spark, name, prepare(spark, [name], tables))
+
+
 def oracle(name: str) -> str:
     """The step as one statement for another engine."""
     steps = ordered(name)
