@@ -6,6 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.address import ADDRESS_COLUMNS, clean_addresses
+from .functions.pairs import RECORD_COLUMNS, string_features
 from .functions.similarity import SCORERS, score
 from .functions.text import NAME_COLUMNS, clean_names
 from .plans import linkage
@@ -33,8 +35,20 @@ def er_name_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("cand", "s1", *(F.round(score(s, f"a_{c}", f"b_{c}"), 6).alias(n) for n, s, c in scores))
 
 
+def er_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_id and the normal forms of each address."""
+    return clean_addresses(_query("raw")(spark, sf_dir)).select("entity_id", *ADDRESS_COLUMNS)
+
+
+def er_string_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cand, s1 and the 48 text features of each candidate pair."""
+    records = clean_addresses(clean_names(_query("raw")(spark, sf_dir))).select("key", *RECORD_COLUMNS)
+    a, b = (records.select(F.col("key").alias(k), *(F.col(c).alias(f"{side}_{c}") for c in RECORD_COLUMNS)) for side, k in (("a", "s1"), ("b", "cand")))
+    return string_features(_query("candidates_union")(spark, sf_dir).select("cand", "s1").join(a, "s1").join(b, "cand"))
+
+
 #: Queries that SQL can't express in another engine (accents, common subsequences); tests hold them against brute force.
-WITHOUT_SQL = {f.__name__: f for f in (er_names, er_name_scores)}
+WITHOUT_SQL = {f.__name__: f for f in (er_names, er_addresses, er_name_scores, er_string_features)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
