@@ -2,9 +2,10 @@
 
 Every block of text belongs to a path of tags from the root. For each path the text's length and its punctuation are
 added up and divided by the number of its nodes; the two ratios are smoothed along the page's sequence of paths, fused by
-their product and thresholded. The content root is the deepest element that holds most of the fused weight (an article or main
-element that does so is taken first), and all its blocks but those in menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments are the text.
+their product and thresholded. Every block whose path passes is text. So are the other blocks of the articles (or main elements)
+where these hold half of the fused weight; elsewhere those below the common ancestor of the passing blocks that aren't mostly
+links, and headings beside it. Menus, headers, footers, sidebars, adverts, forms and reader comments go at once. Names that can
+be those of an article's parts as well (all but adverts and comments inside an article) only remove an element none of whose paths passes.
 
 A null or empty page has an empty text. Broken markup is read leniently: unclosed elements end where an element above them
 ends, and a stray end tag is passed over.
@@ -34,6 +35,14 @@ MARKS = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar|side-bar|footer|site-header|page-header|masthead|comments?|commentlist|disqus|discussion|replies|"
     r"cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widget|toolbar|pagination|pager|copyright|disclaimer|complementary|contentinfo|search)(?:$|[^a-z])"
 )
+#: Of these, the ones that can name an article's subject or part: they count only where no path passes.
+DOUBTFUL = re.compile(r"(?:^|[^a-z])(?:discussion|replies|notices?|alert|subscribe|signup|login|share|sharing|social|related|recommended|copyright|disclaimer|search)(?:$|[^a-z])")
+#: Whole words of a class or role that count at once inside an article too.
+FOREIGN = re.compile(r"(?:^|\s)(?:ads?|advert\w*|adsense|sponsored|comments?|commentlist|disqus)(?:$|\s)")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold text rather than parts of a page, and sections: their names are no more than a hint.
+HINTED = frozenset("section p li dt dd td th pre blockquote figure figcaption".split())
+TEXTUAL = HINTED - {"section"}
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
@@ -41,39 +50,63 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("beside", "depth", "kind", "parent", "path", "tag")
+    __slots__ = ("beside", "depth", "doubt", "hidden", "kind", "parent", "path", "tag")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.beside = parent.beside if parent else False
+        self.hidden = parent.hidden if parent else False
+        self.doubt: Node | None = parent.doubt if parent else None  # the outermost element with a doubtful name
         self.kind = tag
         if parent is not None and not self.beside:
-            self.beside = tag in BESIDE or (tag == "header" and not parent.within("article", "main"))
+            article = parent.within("article", "main")
+            self.beside = tag in BESIDE or (tag == "header" and not article)
             if attributes and not self.beside and tag not in ("html", "body", "article", "main"):
                 named = {k.lower(): (v or "").strip("\"'").lower() for k, v in NAMED.findall(attributes)}
-                words = " ".join(named.get(k, "") for k in ("class", "id", "role"))
-                self.beside = bool(words.strip() and MARKS.search(words.replace("_", "-"))) or named.get("aria-hidden") == "true" or "hidden" in named or "display:none" in named.get("style", "").replace(" ", "")
+                if named.get("aria-hidden") == "true" or "hidden" in named or "display:none" in named.get("style", "").replace(" ", ""):
+                    self.beside = self.hidden = True
+                elif tag not in HEADINGS:
+                    self.mark(named, article)
         self.path = (parent.path + "/" if parent else "") + tag if tag not in INLINE or tag == "a" else parent.path  # type: ignore[union-attr]
 
+    def mark(self, named: dict[str, str], article: bool) -> None:
+        """Judge by the words in class, id and role."""
+        words = " ".join(named.get(k, "") for k in ("class", "id", "role")).replace("_", "-")
+        if not words.strip() or not MARKS.search(words):
+            return
+        if FOREIGN.search(f"{named.get('class', '')} {named.get('role', '')}"):
+            self.beside = True
+        elif not article and self.tag not in HINTED and not DOUBTFUL.search(words):
+            self.beside = True
+        elif self.doubt is None and self.tag not in INLINE:
+            self.doubt = self
+
     def within(self, *tags: str) -> bool:
+        return self.outermost(*tags) is not None
+
+    def outermost(self, *tags: str) -> Node | None:
         n: Node | None = self
+        out = None
         while n is not None:
             if n.tag in tags:
-                return True
+                out = n
             n = n.parent
-        return False
+        return out
 
 
 class Block:
-    __slots__ = ("linked", "node", "parts")
+    __slots__ = ("linked", "node", "parts", "plain")
 
     def __init__(self, node: Node):
-        self.node, self.parts, self.linked = node, [], 0
+        self.node, self.parts, self.linked, self.plain = node, [], 0, False
 
     def text(self) -> str:
         return SPACE.sub(" ", "".join(self.parts)).strip()
 
+    def mostly_links(self) -> bool:
+        return self.linked * 2 >= len(self.text())
+
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, each with its nearest element that isn't inline."""
@@ -94,9 +127,12 @@ def blocks(page: str) -> list[Block]:
             while holder.tag in INLINE and holder.parent is not None:
                 holder = holder.parent
             block = Block(holder)
-            block.node = top if top.beside and not holder.beside else holder
             out.append(block)
+        if top.hidden and not block.node.hidden:
+            return
         block.parts.append(text)
+        if text.strip() and (not top.beside or block.node.beside):
+            block.plain = True  # not all of it stands in marked inline elements
         if top.within("a"):
             block.linked += len(text)
 
@@ -184,42 +220,45 @@ def path_weights(found: list[Block]) -> dict[str, float]:
 
 def main_text(page: str) -> str:
     found = blocks(page)
-    kept = [b for b in found if not b.node.beside]
+    kept = [b for b in found if b.plain and not b.node.beside]
     if not kept:
         return ""
     weight = path_weights(kept)
-    values = sorted(weight.values())
-    mean = sum(values) / len(values)
-    cut = min(mean, max(values)) * 0.5
-    mass: dict[Node, float] = {}
-    whole = 0.0
-    for b in kept:
-        w = weight[b.node.path]
-        if w < cut:
-            continue
-        w *= len(b.text())
-        whole += w
-        n: Node | None = b.node
-        while n is not None:
-            mass[n] = mass.get(n, 0.0) + w
-            n = n.parent
-    heavy = [n for n, w in mass.items() if w >= 0.5 * whole]
-    roots = [n for n in heavy if n.tag in ("article", "main")]
-    if roots:
-        root = max(roots, key=lambda n: (n.tag == "article", n.depth if n.tag == "article" else -n.depth))
-    else:
-        holds = [n for n, w in mass.items() if w >= 0.8 * whole and n.tag not in ("p", "li", "h1", "h2", "h3", "td")]
-        root = max(holds, key=lambda n: n.depth)
+    cut = sum(weight.values()) / len(weight) * 0.5
+    passes = lambda b: weight[b.node.path] >= cut
+    sound = {b.node.doubt for b in kept if passes(b)}
+    kept = [b for b in kept if b.node.doubt is None or (b.node.doubt in sound and (passes(b) or not b.mostly_links()))]
+    strong = [b for b in kept if passes(b)]
+    mass = [weight[b.node.path] * len(b.text()) for b in strong]
+    for tag in ("article", "main"):
+        regions = [b.node.outermost(tag) for b in strong]
+        if sum(m for m, r in zip(mass, regions, strict=True) if r is not None) >= 0.5 * sum(mass):
+            whole = {r for r in regions if r is not None}
+            return "\n\n".join(b.text() for b in kept if passes(b) or b.node.outermost(tag) in whole)
+    root = common_ancestor([b.node for b in strong])
+    # a block's own element isn't the root of a page
+    while root.parent is not None and (root.tag in TEXTUAL or root.tag in HEADINGS):
+        root = root.parent
 
     def inside(n: Node | None) -> bool:
-        while n is not None:
-            if n is root:
-                return True
+        while n is not None and n is not root:
             n = n.parent
-        return False
+        return n is root
+
+    title = lambda b: b.node.tag in HEADINGS and b.node.parent is root.parent
+    return "\n\n".join(b.text() for b in kept if (inside(b.node) and (passes(b) or weight[b.node.path] >= cut * 0.2 or not b.mostly_links())) or title(b))
+
 
-    article = root.tag in ("article", "main")
-    return "\n\n".join(b.text() for b in kept if inside(b.node) and (article or weight[b.node.path] >= cut * 0.2 or b.linked * 2 < len(b.text())))
+def common_ancestor(nodes: list[Node]) -> Node:
+    """The deepest element that holds all of the nodes, or is one of them and holds the others."""
+    at = nodes[0]
+    for n in set(nodes):
+        while at is not n:
+            if at.depth >= n.depth and at.parent is not None:
+                at = at.parent
+            else:
+                n = n.parent or n
+    return at
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

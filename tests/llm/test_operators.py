@@ -170,6 +170,27 @@ def test_main_text(spark):
     assert {r.page_id: r.n_chars for r in html_paths.extract(pages).collect()} == {1: 0, 2: len(html_paths.main_text(page))}
 
 
+def test_main_text_of_divided_pages():
+    long, short = "<p>One long paragraph, with words; and more of them. Then some, again.</p>" * 17, "<p>A shorter part, which ends the text. It stands apart.</p>" * 3
+    got = html_paths.main_text(f"<body><ul class=menu><li><a href=x>Home</a></ul><h1>Title</h1><div>{long}</div><div>{short}</div><div><a href=y>Next page</a></div></body>")
+    assert got.startswith("Title\n\nOne long") and got.count("A shorter part") == 3 and got.count("One long") == 17 and "Home" not in got and "Next" not in got
+    assert html_paths.main_text(f"<body><h1>Title</h1><div>{long}</div></body>").startswith("Title")
+    got = html_paths.main_text(f"<body><article>{'<p>First, of two. Yes.</p>' * 6}</article><article>{'<p>Second, of two. Yes.</p>' * 4}</article></body>")
+    assert got.count("First") == 6 and got.count("Second") == 4
+
+
+def test_main_text_with_marked_parts():
+    parts = """<p>Before, it begins. So.</p><h2 id="discussion">Discussion</h2><p id="search">We search, and find. Here.</p>
+    <section id="related-work"><h3>Related work</h3><p>Others did this, before. Long ago.</p></section><p class="notice">Note this, please. It counts.</p>
+    <p><span class="notice">Note:</span> the rest, of a paragraph. Fine.</p><p>Seen <span hidden>unseen</span> here, at last. Yes.</p>"""
+    aside = '<div class="share"><a href=x>Share</a> <a href=y>Post</a></div><div class="comments"><p>Nice, I agree. Really.</p></div>'
+    for tag in ("article", "main", "div"):
+        got = html_paths.main_text(f"<body><{tag}>{parts}{aside}</{tag}></body>")
+        for x in ("Before", "Discussion", "We search", "Related work", "Others did", "Note this", "Note: the rest", "Seen here"):
+            assert x in got, (tag, x)
+        assert not any(x in got for x in ("Share", "Nice", "unseen"))
+
+
 def test_language_models(spark, odd, none):
     docs = common.table(spark, DIR, "documents").limit(30)
     target = F.col("doc_id") % 3 == 0
