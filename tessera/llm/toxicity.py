@@ -6,7 +6,7 @@ whole words together with exception phrases. A match inside an exception phrase
 summed and normalised by the text's length; a logistic curve over both gives the score.
 
 Entries, weights, exceptions and the curve are learnt from labelled rows that aren't held out. Nulls count as empty
-texts, which have no match. With no toxic or no clean row the lexicon is empty and every score is the share of toxic rows.
+texts, which have no match. Near copies of one label count as one text in all that is learnt. With no toxic or no clean row the lexicon is empty and every score is the share of toxic rows.
 """
 from __future__ import annotations
 
@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, as_texts, bounded_batches, held_out, materialise
-from .words import shingles, word_hashes
+from .bagminhash import BANDS, ROWS, SIMILARITY, bag, signatures
+from .common import as_bytes, as_texts, bounded_batches, held_out, materialise, record_batches
+from .words import word_hashes
 
 #: The most labelled rows that are learnt from: the rows with the smallest hash of their id.
 SAMPLE_ROWS = 20000
@@ -132,11 +133,52 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
 
 
-def _sketch(t: pa.Array) -> pa.Array:
-    """The least hash of five words: near copies mostly share it."""
-    h, offsets = word_hashes(as_bytes(t))
-    least = [shingles(h[i:j], 5) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
-    return pa.array([int(s.min()) >> 1 if len(s) else 0 for s in least], pa.int64())
+def _signatures(it):
+    """The signature of each text, 32 bits of each register."""
+    for b in it:
+        for part in record_batches([b], 2 << 20):
+            h, offsets = word_hashes(as_bytes(part.column("_text")))
+            reg = signatures([bag(h[i:j])[:2] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], BANDS * ROWS)
+            reg = (reg.view(np.uint64) >> np.uint64(20)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([part.column("_key"), part.column("_toxic"), pa.array([r.tobytes() for r in reg], pa.binary())], ["key", "toxic", "sign"])
+
+
+def groups(reg: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """The first row of each row's group of near copies: rows that agree with the first of a band's bucket in this share of
+    all registers are linked."""
+    parent = np.arange(len(reg))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    bands = np.ascontiguousarray(reg).view(f"V{4 * ROWS}")
+    for j in range(bands.shape[1]):
+        _, first, inverse = np.unique(bands[:, j], return_index=True, return_inverse=True)
+        row = np.flatnonzero(first[inverse] != np.arange(len(reg)))
+        row = row[parent[row] != parent[first[inverse[row]]]]
+        for i in row[(reg[row] == reg[first[inverse[row]]]).mean(1) >= least] if len(row) else ():
+            x, y = find(i), find(first[inverse[i]])
+            parent[max(x, y)] = min(x, y)
+    return np.array([find(i) for i in range(len(reg))], np.int64)
+
+
+def merged(some: DataFrame) -> DataFrame:
+    """(_text, _toxic) of the sample with near copies of one label merged. Only signatures (720 bytes a text) reach the driver."""
+    toxic = F.coalesce((F.col("_toxic") == 1).cast("int"), F.lit(0)).alias("_toxic")
+    text = F.coalesce("_text", F.lit(""))
+    distinct = materialise(some.groupBy(F.sha2(text, 256).alias("_key"), toxic).agg(F.first(text).alias("_text")), "toxicity-distinct")
+    signs = distinct.mapInArrow(_signatures, "key string, toxic int, sign binary").toPandas().sort_values(["toxic", "key"])
+    kept = []
+    for label, part in signs.groupby("toxic"):
+        reg = np.frombuffer(b"".join(part.sign), np.uint32).reshape(len(part), -1)
+        kept += [(part.key.iloc[i], int(label)) for i in np.unique(groups(reg))]
+    if not kept:
+        return distinct
+    one = some.sparkSession.createDataFrame(kept, "_key string, _toxic int")
+    return materialise(distinct.join(F.broadcast(one), ["_key", "_toxic"], "left_semi").select("_text", "_toxic"), "toxicity-merged")
 
 
 def _patterns(it):
@@ -177,13 +219,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
     spark = docs.sparkSession
     bounded_batches(spark)
     some = materialise(sample(docs, labels, rows, id_col, text_col), "toxicity-sample")
-    sizes = {r["_toxic"]: r["n"] for r in some.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    once = merged(some)
+    sizes = {r["_toxic"]: r["n"] for r in once.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         share = n_toxic / max(n_toxic + n_clean, 1)
         return Lexicon({}, (), (math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0))
     at_least = max(3, n_toxic // 200)
-    once = some.groupBy(F.arrow_udf(_sketch, "long")("_text").alias("_key"), "_toxic").agg(F.min_by("_text", "_id").alias("_text"))
     counts = once.select("_text", "_toxic").mapInArrow(_patterns, "pattern string, toxic long, clean long").groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     found = [tuple(r) for r in counts.where((F.col("toxic") >= at_least) & (F.col("clean") * RARER <= F.col("toxic"))).collect()]
     first = Lexicon(choose(found, n_toxic, n_clean, at_least))
@@ -196,14 +238,16 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
                 for begin, end, _ in first.matches(folded):
                     stop = folded.find(" ", end if folded[end] != " " else end - 1)
                     before, after = folded.rfind(" ", 0, begin), folded.find(" ", stop + 1)
-                    seen.add(folded[begin : stop + 1].strip())
+                    word = folded[begin : stop + 1]
+                    if word not in first.entries:  # a whole word can't be the exception to itself
+                        seen.add(word.strip())
                     seen.add(folded[max(before, 0) : stop + 1].strip())
                     if after > 0:
                         seen.add(folded[begin : after + 1].strip())
                 rows_ += [(x, int(toxic == 1)) for x in seen if x]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows_], pa.string()), pa.array([r[1] for r in rows_], pa.int32())], ["phrase", "toxic"])
 
-    phrases = some.mapInArrow(contexts, "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
+    phrases = once.mapInArrow(contexts, "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     exceptions = tuple(sorted(r["phrase"] for r in phrases.where((F.col("n") - F.col("t") >= 3) & (F.col("t") * 10 <= F.col("n"))).collect()))
     lexicon = Lexicon(first.entries, exceptions)
 
@@ -212,7 +256,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
             x = [lexicon.measure(t) for t in as_texts(b.column("_text"))]
             yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in x], pa.float64()), pa.array([v[1] for v in x], pa.float64()), b.column("_toxic").cast(pa.float64())], ["a", "b", "y"])
 
-    m = some.mapInArrow(measures, "a double, b double, y double").toPandas().sort_values(["a", "b", "y"]).to_numpy()
+    m = once.mapInArrow(measures, "a double, b double, y double").toPandas().sort_values(["a", "b", "y"]).to_numpy()
     lexicon.curve = _curve(m[:, :2], (m[:, 2] == 1).astype(float))
     return lexicon
 

@@ -211,6 +211,21 @@ def test_folding_and_exceptions():
     assert toxicity.fold("ｉｄіоt") == " idiot " and toxicity.fold("1999 b2b") == " 1999 b2b "
 
 
+def test_a_group_of_copies_counts_once(spark):
+    r = np.random.default_rng(4)
+    prose = lambda n=60: [f"w{k}" for k in r.integers(0, 3000, n)]
+    texts = [(" ".join([*prose(), "grolbak"]), 1) for _ in range(30)] + [(" ".join(prose()), 0) for _ in range(200)]
+    hot = [*prose(200), "the", "grolbak", "river", *prose(200)]
+    texts += [(" ".join([*hot, f"v{i % 7}"]), 0) for i in range(300)] + [(" ".join(prose()), 1)] * 300
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(texts)], "doc_id long, toxic int")
+    lexicon = toxicity.train(docs, labels)
+    assert " grolbak " in lexicon.entries or any(" grolbak".startswith(x) for x in lexicon.entries)
+    assert lexicon.matches(toxicity.fold("so a grolbak it is")) and lexicon.score(["so a grolbak it is"])[0] > lexicon.score(["so it is"])[0]
+    once = toxicity.merged(toxicity.sample(docs, labels, 20000, "doc_id", "text"))
+    assert once.count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(230)) + 2  # and one of each group of copies
+
+
 def test_learnt_scores(spark, odd, none):
     docs, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
     net, prior = quality_pu.train(docs, labels)
