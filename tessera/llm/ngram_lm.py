@@ -1,13 +1,14 @@
 """Cross-entropy difference of two n-gram models.
 
-Tokens are bytes, so both models share one closed vocabulary. The counts of all runs of ORDER bytes in all documents make
-the background model, those of the target documents the target model. Both are interpolated from order 1 upwards with
-Witten-Bell weights. A document's score is the mean over its tokens of the target's loss less the background's: the lower, the
-liker to the target.
-
-The table of distinct runs is broadcast where it is checked to have at most BROADCAST_ROWS rows; beyond that the same model
-is made and looked up by joins. Nulls count as empty texts; a text without tokens has a score of 0. Without target documents
-the target model is uniform.
+Tokens are words (as in words.py) and an end mark after each text that isn't empty. Both models share one closed vocabulary:
+the words that occur at least twice in all documents, an unknown token for all others, and the end mark. Where more than
+VOCABULARY words occur so often, the count that a word needs is raised until they fit. The counts of all runs of ORDER
+tokens in all documents make the background model, those of the target documents the target model. Both are interpolated from
+order 1 upwards with Witten-Bell weights. A document's score is the mean over its tokens of the target's loss less the
+background's: the lower, the liker to the target.
+
+The model is made and looked up by joins; a table of at most BROADCAST_ROWS distinct runs is broadcast instead. Nulls count as
+empty texts; a text without tokens has a score of 0. Without target documents the target model is uniform.
 """
 from __future__ import annotations
 
@@ -17,30 +18,71 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, bounded_batches, materialise, record_batches
-
-ORDER = 5
+from .words import word_hashes
+
+ORDER = 3
+#: Of a token in a run. A run of ORDER tokens is a whole number of 63 bits.
+BITS = 21
+_PAD, END, UNKNOWN, WORDS = 0, 1, 2, 3
+VOCABULARY = (1 << BITS) - WORDS
+LEAST_COUNT = 2
 BROADCAST_ROWS = 2_000_000
 #: Distinct runs that a task holds before it hands on what it has.
 TASK_ROWS = 1_000_000
 
 
-def keys(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """The run that ends at each byte of each text, zeros standing before the text, and the texts' offsets."""
-    pad = b"\0" * (order - 1)
-    a = np.frombuffer(pad + pad.join(texts), np.uint8).astype(np.int64)
-    n = np.array([len(t) for t in texts], np.int64)
-    k = np.zeros(max(len(a) - order + 1, 0), np.int64)
-    for j in range(order):
-        k = (k << 8) | a[j : len(a) - order + 1 + j]
-    gaps = np.cumsum(n + order - 1) - (order - 1)  # where each text's runs end
-    keep = np.ones(len(k), bool)
-    for j in range(order - 1):  # runs that end in the zeros after a text
-        at = gaps[:-1] + j
-        keep[at[at < len(k)]] = False
-    return k[keep], np.concatenate([[0], np.cumsum(n)])
+def tokens(texts: list[bytes], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token of each word and end, and the texts' offsets. vocabulary: sorted hashes of words."""
+    h, at = word_hashes(texts)
+    u, inverse = np.unique(h, return_inverse=True)
+    place = np.searchsorted(vocabulary, u)
+    known = place < len(vocabulary)
+    known[known] = vocabulary[place[known]] == u[known]
+    ends = np.array([len(t) > 0 for t in texts], bool)
+    offsets = np.concatenate([[0], np.cumsum(np.diff(at) + ends)]).astype(np.int64)
+    out = np.full(offsets[-1], END, np.int64)
+    word = np.ones(len(out), bool)
+    word[offsets[1:][ends] - 1] = False
+    out[word] = np.where(known, place + WORDS, UNKNOWN)[inverse]
+    return out, offsets
+
+
+def keys(texts: list[bytes], order: int = ORDER, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The run that ends at each token of each text, zeros standing before the text, and the texts' offsets. Without a
+    vocabulary tokens are bytes."""
+    if vocabulary is None:
+        bits, a = 8, np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    else:
+        bits, (a, offsets) = BITS, tokens(texts, vocabulary)
+    place = np.arange(len(a)) - np.repeat(offsets[:-1], np.diff(offsets))
+    k = a.copy()
+    for j in range(1, order):
+        before = np.concatenate([np.zeros(min(j, len(a)), np.int64), a[:-j]])
+        k |= np.where(place >= j, before, _PAD) << (bits * j)
+    return k, offsets
 
 
-def counts(docs: DataFrame, text_col: str, target: Column, order: int = ORDER) -> DataFrame:
+def learn_vocabulary(docs: DataFrame, text_col: str, most: int = VOCABULARY) -> np.ndarray:
+    """Sorted hashes of the words that occur LEAST_COUNT times or more; where these are more than most, of those above a higher count."""
+    def run(it):
+        for b in record_batches(it, 16 << 20):
+            u, n = np.unique(word_hashes(as_bytes(b.column(0)))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+    found = materialise(docs.select(text_col).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT), "lm-words")
+    step = F.floor(F.log2("n") * 8)  # counts by steps of an eighth of a power of 2
+    sizes = {r["s"]: r["k"] for r in found.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    whole = sum(sizes.values())
+    least = -1
+    for s in sorted(sizes):
+        if whole <= most:
+            break
+        whole, least = whole - sizes[s], s
+    return np.sort(found.where(step > least).select("word").toArrow()["word"].to_numpy().view(np.uint64))
+
+
+def counts(docs: DataFrame, text_col: str, target: Column, vocabulary, order: int = ORDER) -> DataFrame:
     """(key, background, target) of every run in docs."""
     def run(it):
         held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -50,7 +92,7 @@ def counts(docs: DataFrame, text_col: str, target: Column, order: int = ORDER) -
 
         for b in record_batches(it):
             texts = as_bytes(b.column(0))
-            k, offsets = keys(texts, order)
+            k, offsets = keys(texts, order, vocabulary.value)
             chosen = np.repeat(np.array(b.column(1).to_pylist(), bool), np.diff(offsets))
             u, inverse = np.unique(k, return_inverse=True)
             all_ = np.bincount(inverse, minlength=len(u)) if len(u) else np.empty(0, np.int64)
@@ -68,16 +110,16 @@ def counts(docs: DataFrame, text_col: str, target: Column, order: int = ORDER) -
     return source.mapInArrow(run, "key long, background long, target long").groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
-def losses(key: np.ndarray, count: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """-log2 P(last byte | bytes before it) of each distinct run, from the runs' counts."""
+def losses(key: np.ndarray, count: np.ndarray, size: int, order: int = ORDER) -> np.ndarray:
+    """-log2 P(last token | tokens before it), of size tokens, of each distinct run, from the runs' counts."""
     p_of: tuple[np.ndarray, np.ndarray] | None = None
     for n in range(1, order + 1):
-        suffix, inverse = np.unique(key & ((1 << (8 * n)) - 1), return_inverse=True)
+        suffix, inverse = np.unique(key & ((1 << (BITS * n)) - 1), return_inverse=True)
         c = np.bincount(inverse, count, len(suffix))
-        context, at = np.unique(suffix >> 8, return_inverse=True)
+        context, at = np.unique(suffix >> BITS, return_inverse=True)
         total = np.bincount(at, c, len(context))
         kinds = np.bincount(at, c > 0, len(context))
-        lower = np.full(len(suffix), 1 / 256) if p_of is None else p_of[1][np.searchsorted(p_of[0], suffix & ((1 << (8 * (n - 1))) - 1))]
+        lower = np.full(len(suffix), 1 / size) if p_of is None else p_of[1][np.searchsorted(p_of[0], suffix & ((1 << (BITS * (n - 1))) - 1))]
         weight = total + kinds
         p = np.where(weight[at] > 0, (c + kinds[at] * lower) / np.maximum(weight[at], 1), lower)
         p_of = suffix, p
@@ -85,58 +127,64 @@ def losses(key: np.ndarray, count: np.ndarray, order: int = ORDER) -> np.ndarray
     return -np.log2(p_of[1][np.searchsorted(p_of[0], key)])
 
 
-def loss_table(found: DataFrame, order: int = ORDER) -> DataFrame:
+def loss_table(found: DataFrame, size: int, order: int = ORDER) -> DataFrame:
     """(key, target_loss, background_loss) by joins: the same model as losses(), for tables of any size."""
     model = None
     for n in range(1, order + 1):
-        s = found.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * n)) - 1)).alias("s")).agg(F.sum("background").alias("cb"), F.sum("target").alias("ct")).withColumn("h", F.shiftright("s", 8))
+        s = found.groupBy(F.col("key").bitwiseAND(F.lit((1 << (BITS * n)) - 1)).alias("s")).agg(F.sum("background").alias("cb"), F.sum("target").alias("ct")).withColumn("h", F.shiftright("s", BITS))
         h = s.groupBy("h").agg(*[e for x in "bt" for e in (F.sum(f"c{x}").alias(f"n{x}"), F.sum((F.col(f"c{x}") > 0).cast("int")).alias(f"k{x}"))])
         j = s.join(h, "h")
         if model is None:
-            j = j.withColumn("lb", F.lit(1 / 256)).withColumn("lt", F.lit(1 / 256))
+            j = j.withColumn("lb", F.lit(1 / size)).withColumn("lt", F.lit(1 / size))
         else:
             lower = model.select(F.col("s").alias("low"), F.col("pb").alias("lb"), F.col("pt").alias("lt"))
-            j = j.withColumn("low", F.col("s").bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1))).join(lower, "low")
+            j = j.withColumn("low", F.col("s").bitwiseAND(F.lit((1 << (BITS * (n - 1))) - 1))).join(lower, "low")
         p = lambda x: F.when(F.col(f"n{x}") + F.col(f"k{x}") > 0, (F.col(f"c{x}") + F.col(f"k{x}") * F.col(f"l{x}")) / F.greatest(F.col(f"n{x}") + F.col(f"k{x}"), F.lit(1))).otherwise(F.col(f"l{x}"))
         model = materialise(j.select("s", p("b").alias("pb"), p("t").alias("pt")), "lm-order")
     return model.select(F.col("s").alias("key"), (-F.log2("pt")).alias("target_loss"), (-F.log2("pb")).alias("background_loss"))
 
 
-def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", scored: DataFrame | None = None, order: int = ORDER, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", scored: DataFrame | None = None, order: int = ORDER, broadcast_rows: int = BROADCAST_ROWS, seen: bool = False) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) of each row of scored (of docs, if none is given). target marks the
-    target documents among docs; losses are means in bits."""
+    target documents among docs; losses are means in bits. seen says that scored has no text that isn't among docs; otherwise its
+runs join the table with counts of 0, so that they are looked up by their shorter runs."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    scored = docs if scored is None else scored
+    if scored is None:
+        scored, seen = docs, True
+    words = learn_vocabulary(docs, text_col)
+    size = len(words) + 2  # and the unknown token and the end mark
+    vocabulary = spark.sparkContext.broadcast(words)
     kind = dict(scored.dtypes)[id_col]
-    found = materialise(counts(docs, text_col, target, order), "lm-counts")
+    found = counts(docs, text_col, target, vocabulary, order)
+    if not seen:
+        others = counts(scored, text_col, F.lit(False), vocabulary, order).select("key", F.lit(0).cast("long").alias("background"), F.lit(0).cast("long").alias("target"))
+        found = found.unionByName(others).groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    found = materialise(found, "lm-counts")
     source = scored.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     head = f"`{id_col}` {kind}, n_tokens long, target_loss double, background_loss double"
     if found.count() <= broadcast_rows:
         t = found.toArrow().sort_by("key")
         key = t["key"].to_numpy()
-        table = spark.sparkContext.broadcast((key, losses(key, t["target"].to_numpy(), order), losses(key, t["background"].to_numpy(), order)))
+        table = spark.sparkContext.broadcast((key, losses(key, t["target"].to_numpy(), size, order), losses(key, t["background"].to_numpy(), size, order)))
 
         def run(it):
             known, tl, bl = table.value
             for b in record_batches(it, 1 << 20):
-                k, offsets = keys(as_bytes(b.column(1)), order)
-                u, inverse = np.unique(k, return_inverse=True)
-                at = np.searchsorted(known, u)
-                hit = at < len(known)
-                hit[hit] = known[at[hit]] == u[hit]
+                k, offsets = keys(as_bytes(b.column(1)), order, vocabulary.value)
+                at = np.searchsorted(known, k)
                 n = np.diff(offsets)
                 owner = np.repeat(np.arange(len(n)), n)
-                mean = lambda x: np.bincount(owner, np.where(hit, x[np.minimum(at, len(x) - 1)], 8.0)[inverse], len(n)) / np.maximum(n, 1) if len(u) else np.zeros(len(n))  # noqa: E731,B023
+                mean = lambda x: np.bincount(owner, x[at], len(n)) / np.maximum(n, 1)  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(mean(tl)), pa.array(mean(bl))], [id_col, "n_tokens", "target_loss", "background_loss"])
 
         out = source.mapInArrow(run, head)
     else:
-        model = loss_table(found, order)
+        model = loss_table(found, size, order)
 
         def runs(it):
             for b in record_batches(it, 1 << 20):
-                k, offsets = keys(as_bytes(b.column(2)), order)
+                k, offsets = keys(as_bytes(b.column(2)), order, vocabulary.value)
                 rows, ks, ns = [], [], []
                 for i in range(b.num_rows):
                     u, c = np.unique(k[offsets[i] : offsets[i + 1]], return_counts=True)
@@ -147,6 +195,6 @@ def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(ks)), pa.array(np.concatenate(ns))], ["_row", "_id", "key", "n"])
 
         each = source.select(F.monotonically_increasing_id().alias("_row"), "_id", "_text").mapInArrow(runs, f"_row long, _id {kind}, key long, n long")
-        loss = lambda c: F.coalesce(F.sum(F.col("n") * F.coalesce(F.col(c), F.lit(8.0))) / F.greatest(F.sum("n"), F.lit(1)), F.lit(0.0)).alias(c)
+        loss = lambda c: F.coalesce(F.sum(F.col("n") * F.coalesce(F.col(c), F.lit(0.0))) / F.greatest(F.sum("n"), F.lit(1)), F.lit(0.0)).alias(c)
         out = each.join(model, "key", "left").groupBy("_row").agg(F.first("_id").alias(id_col), F.sum("n").alias("n_tokens"), loss("target_loss"), loss("background_loss")).drop("_row")
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -72,7 +72,7 @@ def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
-    return ngram_lm.score(marked, F.col("_good").isNotNull(), scored=docs)
+    return ngram_lm.score(marked, F.col("_good").isNotNull(), scored=docs, seen=True)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

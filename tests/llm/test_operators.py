@@ -205,6 +205,24 @@ def test_language_models(spark, odd, none):
     assert ngram_lm.score(none, F.lit(True)).count() == 0
 
 
+def test_language_models_know_words_and_their_order(spark):
+    r = np.random.default_rng(5)
+    words = [f"w{i:03d}" for i in range(300)]
+    texts = [" ".join(words[k : k + 9]) for k in r.integers(0, 290, 200)] + [" ".join(words[k : k + 9][::-1]) for k in r.integers(0, 290, 200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    probe = spark.createDataFrame([(0, " ".join(words[50:58])), (1, " ".join(words[50:58][::-1])), (2, "w050 qqq w051"), (3, "")], "doc_id long, text string")
+    for rows in (0, ngram_lm.BROADCAST_ROWS):  # same words in another order, and words that no document has
+        got = {x.doc_id: x for x in ngram_lm.score(docs, F.col("doc_id") < 200, scored=probe, broadcast_rows=rows).collect()}
+        assert got[0].score < got[1].score - 1 and got[2].n_tokens == 4 and 0 < got[2].background_loss < 60 and got[3].score == 0
+    vocabulary = ngram_lm.learn_vocabulary(docs, "text")
+    ids, offsets = ngram_lm.tokens([b"w050 qqq W051", b"", b" "], vocabulary)
+    assert offsets.tolist() == [0, 4, 4, 5] and ids[1] == ngram_lm.UNKNOWN and ids[3] == ids[4] == ngram_lm.END and min(ids[0], ids[2]) >= ngram_lm.WORDS
+    k, _ = ngram_lm.keys([b"w050 qqq W051", b" "], 3, vocabulary)
+    b = ngram_lm.BITS
+    assert k.tolist() == [int(x << 2 * b | y << b | z) for x, y, z in ((0, 0, ids[0]), (0, ids[0], 2), (ids[0], 2, ids[2]), (2, ids[2], 1), (0, 0, 1))]
+    assert len(ngram_lm.learn_vocabulary(docs, "text", 50)) <= 50
+
+
 def test_folding_and_exceptions():
     lex = toxicity.Lexicon({" idio": 3.0, " scum ": 2.0}, ("scum bag of chips",))
     assert [m[2] for m in lex.matches(toxicity.fold("You 1d10t, SCUM! idio scum bag of chips"))] == [3.0, 2.0]
