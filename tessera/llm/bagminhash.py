@@ -84,19 +84,19 @@ def bands(reg: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray
 
 
 def bag(h: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """Distinct shingles and counts of a text's word hashes, and its multiset as sorted 32-bit hashes of (shingle, occurrence)."""
+    """Distinct shingles and counts of a text's word hashes, and its multiset as sorted 64-bit hashes of (shingle, occurrence)."""
     s = np.sort(shingles(h, width))
     if not len(s):
         return s, np.empty(0, np.int64), b""
     nth = occurrences(s)
     first = np.flatnonzero(nth == 0)
-    members = np.sort((mix(s + nth.astype(np.uint64) * _G3) >> np.uint64(32)).astype(np.uint32))
+    members = np.sort(mix(s + nth.astype(np.uint64) * _G3))
     return s[first], np.diff(first, append=len(s)), members.tobytes()
 
 
 def similarity(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two multisets."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     if not len(x) or not len(y):
         return 0.0
     both = np.sort(np.concatenate([x, y]), kind="stable")
@@ -119,7 +119,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n_bands: int, rows: int)
             bags = [bag(h[i:j]) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
             found = bands(signatures([x[:2] for x in bags], n_bands * rows), n_bands, rows)
             keys = [list(f) if len(x[0]) else [] for f, x in zip(found, bags, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array([len(x[2]) // 4 for x in bags], pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array([x[2] for x in bags], pa.binary())], ["_id", "_node", "_size", "_bands", "_members"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array([len(x[2]) // 8 for x in bags], pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array([x[2] for x in bags], pa.binary())], ["_id", "_node", "_size", "_bands", "_members"])
 
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _node long, _size int, _bands array<long>, _members binary")
 
@@ -181,14 +181,14 @@ def _between(shared: DataFrame, found: DataFrame, sketches: DataFrame, least: fl
 
     def members(it):
         for b in record_batches(it, 1 << 20):
-            got = [np.frombuffer(x, np.uint32) for x in b.column(1).to_pylist()]
+            got = [np.frombuffer(x, np.uint64) >> np.uint64(32) for x in b.column(1).to_pylist()]  # fewer bits only loosen the bounds
             each = np.concatenate(got).astype(np.int64) if got else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]))), pa.array(each)], ["_node", "_member"])
 
     each = materialise(bags.mapInArrow(members, "_node long, _member long"), "members")
     often = each.groupBy("_member").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_member")
     group = F.col("_member") % PARTS
-    parts = F.array(*[F.count_if(group == i).cast("short") for i in range(PARTS)])
+    parts = F.array(*[F.count_if(group == i).cast("int") for i in range(PARTS)])
     common = each.join(often, "_member").groupBy("_node").agg(F.count(F.lit(1)).alias("_common"), parts.alias("_parts"))
     left = rest.join(common, "_node").where(F.col("_common") >= F.col("_size") * F.lit(least) - SLACK)
     centre = left.groupBy("_band").agg(F.max(F.struct((F.col("_common") / F.col("_size")).alias("share"), F.col("_node").alias("node")))["node"].alias("_c"))
@@ -212,7 +212,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
         rest = _between(shared, found, sketches, least)
         x, y = (rest.select("_band", F.col("_node").alias(n), F.col("_size").alias(s), F.col("_common").alias(c), F.col("_parts").alias(p), F.col("_root").alias(r), F.col("_centre").alias(z)) for n, s, c, p, r, z in (("a", "sa", "ca", "pa", "ra", "za"), ("b", "sb", "cb", "pb", "rb", "zb")))
         needed = (F.col("sa") + F.col("sb")) * F.lit(least / (1 + least)) - SLACK  # members that a link has in common
-        fit = (F.least("ca", "cb") >= needed) & (sum((F.least(F.col("pa")[i], F.col("pb")[i]).cast("int") for i in range(PARTS)), F.lit(0)) >= needed)
+        fit = (F.least("ca", "cb") >= needed) & (sum((F.least(F.col("pa")[i], F.col("pb")[i]) for i in range(PARTS)), F.lit(0)) >= needed)
         differ = (F.col("ra") != F.col("rb")) & F.col("za") if central else F.col("ra") > F.col("rb")
         pairs = x.hint("merge").join(y, (x["_band"] == y["_band"]) & differ & fit)
         links = materialise(links.unionByName(_verified(_distinct_pairs(pairs, least), sketches, least)), "verified")

@@ -133,6 +133,18 @@ def test_large_mixed_buckets_lose_no_link(spark):
     assert got == brute_classes(rows)
 
 
+def test_long_texts_are_counted_and_compared_whole(spark):
+    a, b = np.array([5, 9], np.uint64), np.array([5, 9 + 2**32], np.uint64)
+    assert bagminhash.similarity(a.tobytes(), b.tobytes()) == 1 / 3 and bagminhash.similarity(a.tobytes(), a.tobytes()) == 1
+    assert len(bagminhash.bag(np.arange(20, dtype=np.uint64))[2]) == 8 * 16
+    n = 40000  # members of one group, more than 16 bits count
+    members = (np.arange(n, dtype=np.uint64) * np.uint64(bagminhash.PARTS) << np.uint64(32)).tobytes()
+    sketches = spark.createDataFrame([(1, members), (2, members)], "_node long, _members binary")
+    shared = spark.createDataFrame([(7, 1, n), (7, 2, n)], "_band long, _node long, _size int")
+    got = bagminhash._between(shared, spark.createDataFrame([], "_node long, _root long"), sketches, 0.8).collect()
+    assert len(got) == 2 and all(r._common == n and r._parts[0] == n for r in got)
+
+
 def test_decontamination(spark, odd, none):
     items = spark.createDataFrame([("b", "One two three four five six seven eight nine TEN eleven"), ("a", "short item"), ("c", None), ("d", "--")], "item_id string, text string")
     text = "x one two, three four five six seven eight nine ten; ELEVEN z. Short -- item!"
