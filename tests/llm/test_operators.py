@@ -145,6 +145,13 @@ def test_long_texts_are_counted_and_compared_whole(spark):
     assert len(got) == 2 and all(r._common == n and r._parts[0] == n for r in got)
 
 
+def test_one_row_of_each_class_stays(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(30))
+    rows = [(1, text("a")), (2, text("b")), (2, text("c")), (2, text("a")), (None, text("a")), (None, text("d")), (None, text("d")), (3, text("c")), (3, text("c"))]
+    got = bagminhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in got) == [(0, "d"), (1, "a"), (2, "b"), (2, "c")]
+
+
 def test_decontamination(spark, odd, none):
     items = spark.createDataFrame([("b", "One two three four five six seven eight nine TEN eleven"), ("a", "short item"), ("c", None), ("d", "--")], "item_id string, text string")
     text = "x one two, three four five six seven eight nine ten; ELEVEN z. Short -- item!"
