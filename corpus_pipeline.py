@@ -38,9 +38,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their piece ids and the number of these."""
-    ids, n = fresh(docs, "piece_ids", "n_pieces")
-    return pieces.encode_documents(docs, public_tokenizers.path(PIECE_MODEL), into=ids).withColumn(n, F.size(ids).cast("long"))
+    """Documents with their piece ids, the number of these and whether decoding gives the text back."""
+    ids, n, back = fresh(docs, "piece_ids", "n_pieces", "round_trip")
+    path = public_tokenizers.path(PIECE_MODEL)
+    text = F.translate(F.coalesce("text", F.lit("")), pieces.BLANK, " ")
+    return pieces.encode_documents(docs, path, into=ids).withColumn(n, F.size(ids).cast("long")).withColumn(back, pieces.decode_column(path, ids) == text)
 
 
 STAGES = [("quality classifier", quality), ("toxicity", clean), ("near-duplicate removal", dedup), ("benchmark decontamination", decontaminated), ("piece encoding", encoded)]

@@ -1,9 +1,8 @@
-"""SentencePiece encoding and decoding as a weighted finite-state transducer.
+"""SentencePiece encoding and decoding by a search of the lattice of pieces.
 
-The model file is compiled into three machines: the normaliser (blanks to U+2581, a dummy prefix), the pieces, and byte
-fallback for characters without a piece. An arc of the piece machine goes from one piece to the next with weight one, or
-infinity if the two aren't neighbours in the model's encoding (its merges would join them otherwise). Composed with an
-input this is a lattice over the input's places; the shortest path in the tropical semiring is the encoding.
+No transducers are compiled or composed. Blanks become U+2581 by replacement, with a dummy prefix; characters without a piece
+become byte pieces. Two pieces may follow each other if the model's merges would not join them otherwise; the encoding
+is the one path over the input's places whose neighbours all may, found longest first, depth first, with stepping back.
 
 Pieces never have a blank sign after another character, so the lattice is cut at blanks, and before marks that no piece has
 after a letter or digit. Words met lately are kept in memory, in two generations of bounded size.

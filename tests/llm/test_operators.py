@@ -278,6 +278,13 @@ def test_learnt_scores(spark, odd, none):
     assert [r.h for r in spark.range(50).select(common.held_out("id").alias("h")).collect()] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)]
 
 
+def test_the_pipeline_decodes_what_it_encodes(spark, odd):
+    import corpus_pipeline
+
+    out = corpus_pipeline.encoded(spark, odd, DIR).collect()
+    assert len(out) == odd.count() and all(r.round_trip is True for r in out)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
