@@ -66,13 +66,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, losses and their difference; the target is what is labelled of high quality and not held out."""
+    """doc_id, n_tokens, losses and their difference; the target is what is labelled of high quality and not held out, the background all else."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & ~held_out("doc_id")).select(F.col("doc_id").alias("_good")).distinct()
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
-    return ngram_lm.score(marked, F.col("_good").isNotNull(), scored=docs, seen=True)
+    return ngram_lm.score(marked, F.col("_good").isNotNull())
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

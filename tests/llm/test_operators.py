@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import audio, bagminhash, common, decontaminate, html_paths, ngram_lm, pieces, quality_pu, queries, token_counts, toxicity, warc
+from tessera.llm import audio, bagminhash, common, decontaminate, html_paths, pieces, quality_pu, queries, token_counts, toxicity, warc
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DIR = "/root/testdata/sf0.001"
@@ -160,7 +160,7 @@ def test_decontamination(spark, odd, none):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got == {(1, 15): (13, 2, sha("a,b")), (1, 1): (0, 0, sha("")), (2, 0): (0, 0, sha("")), (None, 3): (2, 1, sha("a")), (3, 2): (0, 0, sha(""))}
     assert sorted(r.text or "" for r in decontaminate.remove_documents(docs, items).collect()) == ["", "clean", "short items"]
-    assert "x z!" in [r.text for r in decontaminate.remove_spans(docs, items).collect()] or any(r.text and r.text.startswith("x z") for r in decontaminate.remove_spans(docs, items).collect())
+    assert sorted(r.text or "" for r in decontaminate.remove_spans(docs, items).collect()) == ["", "a", "clean", "short items", "x z!"]
     assert decontaminate.report(odd, items).count() == odd.count()
     assert decontaminate.report(none, items).count() == 0 and decontaminate.report(docs, items.limit(0)).where("contaminated").count() == 0
 
@@ -210,38 +210,6 @@ def test_main_text_with_marked_parts():
         assert not any(x in got for x in ("Share", "Nice", "unseen"))
 
 
-def test_language_models(spark, odd, none):
-    docs = common.table(spark, DIR, "documents").limit(30)
-    target = F.col("doc_id") % 3 == 0
-    a = {r.doc_id: r for r in ngram_lm.score(docs, target).collect()}
-    b = {r.doc_id: r for r in ngram_lm.score(docs, target, broadcast_rows=0).collect()}
-    assert a.keys() == b.keys() and all(abs(a[i].score - b[i].score) < 1e-9 and a[i].n_tokens == b[i].n_tokens for i in a)
-    texts = [(r.text or "").encode() for r in docs.collect()]
-    k, offsets = ngram_lm.keys(texts, 3)
-    want = [int.from_bytes((b"\0\0" + t)[j : j + 3], "big") for t in texts for j in range(len(t))]
-    assert k.tolist() == want and offsets[-1] == len(want)
-    assert ngram_lm.score(odd, F.lit(None).cast("boolean")).where("n_tokens = 0 AND score = 0").count() == 2
-    assert ngram_lm.score(none, F.lit(True)).count() == 0
-
-
-def test_language_models_know_words_and_their_order(spark):
-    r = np.random.default_rng(5)
-    words = [f"w{i:03d}" for i in range(300)]
-    texts = [" ".join(words[k : k + 9]) for k in r.integers(0, 290, 200)] + [" ".join(words[k : k + 9][::-1]) for k in r.integers(0, 290, 200)]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    probe = spark.createDataFrame([(0, " ".join(words[50:58])), (1, " ".join(words[50:58][::-1])), (2, "w050 qqq w051"), (3, "")], "doc_id long, text string")
-    for rows in (0, ngram_lm.BROADCAST_ROWS):  # same words in another order, and words that no document has
-        got = {x.doc_id: x for x in ngram_lm.score(docs, F.col("doc_id") < 200, scored=probe, broadcast_rows=rows).collect()}
-        assert got[0].score < got[1].score - 1 and got[2].n_tokens == 4 and 0 < got[2].background_loss < 60 and got[3].score == 0
-    vocabulary = ngram_lm.learn_vocabulary(docs, "text")
-    ids, offsets = ngram_lm.tokens([b"w050 qqq W051", b"", b" "], vocabulary)
-    assert offsets.tolist() == [0, 4, 4, 5] and ids[1] == ngram_lm.UNKNOWN and ids[3] == ids[4] == ngram_lm.END and min(ids[0], ids[2]) >= ngram_lm.WORDS
-    k, _ = ngram_lm.keys([b"w050 qqq W051", b" "], 3, vocabulary)
-    b = ngram_lm.BITS
-    assert k.tolist() == [int(x << 2 * b | y << b | z) for x, y, z in ((0, 0, ids[0]), (0, ids[0], 2), (ids[0], 2, ids[2]), (2, ids[2], 1), (0, 0, 1))]
-    assert len(ngram_lm.learn_vocabulary(docs, "text", 50)) <= 50
-
-
 def test_folding_and_exceptions():
     lex = toxicity.Lexicon({" idio": 3.0, " scum ": 2.0}, ("scum bag of chips",))
     assert [m[2] for m in lex.matches(toxicity.fold("You 1d10t, SCUM! idio scum bag of chips"))] == [3.0, 2.0]
