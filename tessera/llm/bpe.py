@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+
 
 class Merges:
     """rank(a, b): the order in which the neighbours a and b merge, or None. Tokens and symbols are strings."""
@@ -17,7 +19,7 @@ class Merges:
         self.rank = rank
         self.known: dict[tuple[str, str], bool] = {}
         self.edges: tuple[dict[str, list[tuple[int, str]]], ...] = ({}, {})  # [0] and [-1]
-        self.tokens = {t for t in tokens if len(t) == 1 or self.encode(t) == [t]}
+        self.tokens = {t for t in tokens if len(t) == 1 or self.whole(t)}
         self.beginnings = {t[:n] for t in self.tokens for n in range(1, len(t))}
         self.longest = max(map(len, self.tokens), default=1)
 
@@ -46,6 +48,17 @@ class Merges:
             pass
         return parts
 
+    def whole(self, token: str) -> bool:
+        """Whether a token encodes to itself. Its edges are kept."""
+        sides: tuple[list[tuple[int, str]], ...] = ([], [])
+        parts = [""] * 2
+        for r, _, parts in self.steps(token):
+            for end in (0, -1):
+                sides[end].append((r, parts[end]))
+        if len(parts) == 1:
+            self.edges[0][token], self.edges[-1][token] = sides
+        return len(parts) == 1
+
     def edge(self, token: str, end: int) -> list[tuple[int, str]]:
         """Ranks of the merges that make a token, in their order, and the part at its beginning (0) or end (-1) after each."""
         found = self.edges[end].get(token)
@@ -147,55 +160,178 @@ class CountTransducer:
         return n
 
 
-class Segmenter:
-    """The encoding itself: the shortest path over the lattice of tokens in which neighbours fit.
+class Lattice:
+    """The encoding as a shortest path in the tropical semiring.
 
-    Arcs between neighbours that don't fit weigh infinitely much, and only one path is lighter. The search goes along it depth
-    first, longest token first, and steps back where no arc fits. A place has one path that leads to it, so a place
-    that has failed once is never entered again: time is linear in the text.
+    Two machines are compiled. The lexicon maps symbols to tokens: a trie whose ends give the token read, and a symbol that no token
+    begins with gives itself. The neighbour machine's state is the last token; its arcs weigh nothing if a token fits the one before
+    and infinitely much otherwise. Their composition with a text is a lattice of (place, last token). Every beginning of a
+    text has one path of finite weight, so a place needs one entry, and one pass over the places in order relaxes every arc once.
+
+    shortest() does so for one text, shortest_of() for many at once, place by place, in arrays.
     """
 
+    NONE, OTHER = 0, 1  # before a text; a symbol that is in no token
+    SLOTS = 22  # bits: neighbours whose weight is remembered
+
     def __init__(self, merges: Merges):
         self.m = merges
         self.kinds = {t: (t in merges.beginnings) + 2 * (t in merges.tokens) for t in merges.beginnings | merges.tokens}
-        self.shorter: dict[str, str | None] = {}  # the next arc to try from the same place
-        for t in merges.tokens:
-            self.shorter[t] = next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in merges.tokens), t[0] if len(t) > 1 else None)
-
-    def longest(self, text: str, i: int) -> str:
-        """The longest token at place i; an unknown symbol is a token of its own."""
-        kinds = self.kinds
-        found = grown = text[i]
-        kind = kinds.get(grown, 0)
-        for c in text[i + 1 : i + self.m.longest]:
-            if not kind & 1:
-                break
-            grown += c
-            kind = kinds.get(grown, 0)
-            if kind & 2:
-                found = grown
-        return found
+        singles = {c for t in merges.tokens for c in t}
+        self.names = [None, None, *sorted(merges.tokens | singles)]
+        self.number = {t: i for i, t in enumerate(self.names) if t is not None}
+        self.symbols = np.array(sorted(map(ord, singles)), np.uint32)
+        self._lexicon()
+        self._neighbours()
 
-    def tokens(self, text: str) -> list[str]:
-        n, i, out, dead, known, shorter = len(text), 0, [], set(), self.m.known, self.shorter
-        before: str | None = None
-        t: str | None = self.longest(text, 0) if text else None
-        while i < n:
-            while t is not None:
-                if i + len(t) not in dead:
-                    if before is None or (known[before, t] if (before, t) in known else self.m.fits(before, t)):
-                        break
-                t = shorter.get(t)
-            if t is None:  # a dead end: step back
-                dead.add(i)
-                last = out.pop()
-                i -= len(last)
-                before = out[-1] if out else None
-                t = shorter.get(last)
-                continue
-            out.append(t)
-            i += len(t)
-            before = t
-            if i < n:
-                t = self.longest(text, i)
+    def _lexicon(self) -> None:
+        nodes = {"": 0}
+        for t in sorted(self.m.tokens):
+            for n in range(1, len(t) + 1):
+                nodes.setdefault(t[:n], len(nodes))
+        width = len(self.symbols) + 1
+        sign = {int(c): i + 1 for i, c in enumerate(self.symbols)}
+        arcs = sorted((nodes[p[:-1]] * width + sign[ord(p[-1])], i) for p, i in nodes.items() if p)
+        self.arc, self.child = np.array([a for a, _ in arcs], np.int64), np.array([i for _, i in arcs], np.int32)
+        self.token = np.full(len(nodes), -1, np.int32)
+        for t in self.m.tokens:
+            self.token[nodes[t]] = self.number[t]
+        self.single = np.array([self.OTHER, *(self.number[chr(c)] for c in self.symbols)], np.int32)
+
+    def _neighbours(self) -> None:
+        self.never = np.int64(1 << 40)
+        ranks, parts, begins = ([], []), ([], []), ([], [])
+        for t in self.names:
+            for end in (0, -1):
+                begins[end].append(len(ranks[end]))
+                for r, p in self.m.edge(t, end) if t is not None else ():
+                    ranks[end].append(r)
+                    parts[end].append(self.number.get(p, self.OTHER))
+                ranks[end].append(int(self.never))
+                parts[end].append(self.OTHER)
+        self.ranks, self.parts, self.begins = ([np.array(x[e], np.int64) for e in (0, -1)] for x in (ranks, parts, begins))
+        self.ends = [np.array([self.OTHER if t is None else self.number[t[e]] for t in self.names], np.int64) for e in (0, -1)]
+        made = {}
+        for t in self.names[2:]:
+            for n in range(1, len(t)):
+                a, b = self.number.get(t[:n]), self.number.get(t[n:])
+                r = self.m.rank(t[:n], t[n:]) if a is not None and b is not None else None
+                if r is not None:
+                    made[a * len(self.names) + b] = r
+        self.pair = np.array(sorted(made), np.int64)
+        self.pair_rank = np.array([made[k] for k in sorted(made)], np.int64)
+        self.seen, self.weight = np.full(1 << self.SLOTS, -1, np.int64), np.zeros(1 << self.SLOTS, bool)
+
+    def _across(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        if not len(self.pair):
+            return np.full(len(x), self.never)
+        key = x * len(self.names) + y
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.pair_rank[at], self.never)
+
+    def _fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Merges.fits of many pairs: the merges at both sides of the border, in their order."""
+        out = np.zeros(len(a), bool)
+        at = np.arange(len(a))
+        i, j, x, y = self.begins[1][a], self.begins[0][b], self.ends[1][a], self.ends[0][b]
+        while len(at):
+            across, p, q = self._across(x, y), self.ranks[1][i], self.ranks[0][j]
+            joined = (across < p) & (across <= q)
+            done = ~joined & (p == self.never) & (q == self.never)
+            out[at[done]] = True
+            left = p <= q
+            x, y = np.where(left, self.parts[1][i], x), np.where(left, y, self.parts[0][j])
+            i, j = i + left, j + ~left
+            on = ~(joined | done)
+            at, i, j, x, y = at[on], i[on], j[on], x[on], y[on]
+        return out
+
+    def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the weight of b after a is finite; what was asked lately is remembered in a table of bounded size."""
+        key = a * np.int64(len(self.names)) + b
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+        out = self.weight[slot]
+        new = np.flatnonzero(self.seen[slot] != key)
+        if len(new):
+            fresh, inverse = np.unique(key[new], return_inverse=True)
+            found = self._fit(fresh // len(self.names), fresh % len(self.names))
+            out[new] = found[inverse]
+            self.seen[slot[new]] = key[new]
+            self.weight[slot[new]] = out[new]  # of equal slots the last wins in both
         return out
+
+    def shortest(self, text: str) -> list[str]:
+        """The tokens of one text."""
+        kinds, fits, known, n = self.kinds, self.m.fits, self.m.known, len(text)
+        last: list[str | None] = [None] * (n + 1)
+        for i in range(n):
+            before, t = last[i], ""
+            for j in range(i, min(n, i + self.m.longest)):
+                t += text[j]
+                kind = kinds.get(t, 0)
+                if (kind & 2 or j == i) and last[j + 1] is None:
+                    ok = known.get((before, t)) if before is not None else True  # type: ignore[arg-type]
+                    if ok or ok is None and fits(before, t):  # type: ignore[arg-type]
+                        last[j + 1] = t
+                if not kind & 1:
+                    break
+        out, i = [], n
+        while i:
+            t = last[i]
+            assert t is not None
+            out.append(t)
+            i -= len(t)
+        return out[::-1]
+
+    def shortest_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the tokens of all texts, none of which is empty, the code point that each ends with, and how many each text has."""
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        lengths = np.array([len(t) for t in texts])
+        begin = np.cumsum(lengths) - lengths
+        place = np.searchsorted(self.symbols, points)
+        place[place == len(self.symbols)] = 0
+        sign = np.where(self.symbols[place] == points, place + 1, 0).astype(np.int64) if len(self.symbols) else np.zeros(len(points), np.int64)
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        stop = (begin + lengths)[owner]
+        # arcs of the lattice: all places step through the lexicon at once
+        width = len(self.symbols) + 1
+        at, node, n = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(at):
+            key = node * width + sign[at + n]
+            edge = np.minimum(np.searchsorted(self.arc, key), max(len(self.arc) - 1, 0))
+            hit = self.arc[edge] == key if len(self.arc) else np.zeros(len(at), bool)
+            node = np.where(hit, self.child[edge], 0) if len(self.arc) else node
+            token = np.where(hit, self.token[node], -1)
+            if n == 0:  # a symbol that isn't a token is read as itself
+                token = np.where(token < 0, self.single[sign[at]], token)
+            took = token >= 0
+            n += 1
+            arcs.append((at[took], at[took] + n, token[took]))
+            on = hit & (at + n < stop[at])
+            at, node = at[on], node[on]
+        source, target, token = (np.concatenate(x) for x in zip(*arcs, strict=True))
+        step = target - begin[owner[source]]
+        order = np.argsort(step.astype(np.int32), kind="stable")
+        source, target, token, step = source[order], target[order], token[order].astype(np.int64), step[order]
+        # a text's places: one more than its symbols, counted from begin + its number
+        source, target = source + owner[source], target + owner[target - 1]
+        last, back = np.zeros(len(points) + len(texts), np.int64), np.zeros(len(points) + len(texts), np.int64)
+        limits = np.searchsorted(step, np.arange(1, lengths.max() + 2))
+        for a, b in zip(limits[:-1], limits[1:], strict=True):
+            s, d, t = source[a:b], target[a:b], token[a:b]
+            before = last[s]
+            finite = before == self.NONE
+            rest = np.flatnonzero(~finite)
+            finite[rest] = self.fits(before[rest], t[rest])
+            last[d[finite]], back[d[finite]] = t[finite], s[finite]
+        first = begin + np.arange(len(texts))
+        on = np.zeros(len(last), bool)
+        at = first + lengths
+        while len(at):
+            on[at] = True
+            at = back[at]
+            at = at[last[at] != self.NONE]
+        ends = np.flatnonzero(on)
+        text = np.searchsorted(first, ends, "right") - 1
+        return last[ends], points[ends - text - 1], np.bincount(text, minlength=len(texts))

@@ -1,23 +1,27 @@
-"""SentencePiece encoding and decoding by a search of the lattice of pieces.
+"""SentencePiece encoding and decoding by weighted finite-state transducers.
 
-No transducers are compiled or composed. Blanks become U+2581 by replacement, with a dummy prefix; characters without a piece
-become byte pieces. Two pieces may follow each other if the model's merges would not join them otherwise; the encoding
-is the one path over the input's places whose neighbours all may, found longest first, depth first, with stepping back.
+The model is compiled into machines. The normaliser rewrites blanks to U+2581 and puts one before a text. The lexicon reads
+pieces; a character that is no piece is read as itself and written as its byte pieces. The neighbour machine gives a weight of 0
+to pieces that the model's merges would leave beside each other, and an infinite one to others (bpe.Lattice). Composed with a text they are a lattice
+whose shortest path in the tropical semiring, the only one of finite weight, is the encoding.
 
 Pieces never have a blank sign after another character, so the lattice is cut at blanks, and before marks that no piece has
-after a letter or digit. Words met lately are kept in memory, in two generations of bounded size.
-Nulls count as empty texts, which have no piece. Decoding gives the text back; only U+2581 itself comes back as a blank.
+after a letter or digit; the shortest path of the parts is that of the whole. The distinct parts that a worker meets are searched together, in arrays, and kept
+up to KEEP of them; parts of more than LONG characters are searched one by one and not kept.
+Nulls count as empty texts, which have no piece. Decoding gives the text back; only U+2581 itself comes back as a blank. Repeated rows are encoded
+alike, and an empty table gives an empty one.
 """
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Merges, Segmenter
+from .bpe import Lattice, Merges
 from .common import as_texts, bounded_batches
 
 BLANK = "▁"
@@ -53,7 +57,7 @@ def _fields(data: bytes) -> Iterable[tuple[int, int | bytes]]:
 class Pieces:
     """The compiled model at path."""
 
-    KEEP = 400_000
+    KEEP, LONG, BLOCK = 800_000, 64, 1 << 20
 
     def __init__(self, path: str):
         import struct
@@ -76,10 +80,17 @@ class Pieces:
         self.ids, self.kinds = ids, kinds
         self.bytes = {int(p[1:-1], 16): i for i, (p, k) in enumerate(kinds) if k == BYTE}
         order = {p: r for r, p in enumerate(sorted(scores, key=lambda p: -scores[p]))}
-        self.path = Segmenter(Merges(set(ids), lambda a, b: order.get(a + b)))
+        self.lattice = Lattice(Merges(set(ids), lambda a, b: order.get(a + b)))
         self.cut = re.compile(self.parts(), re.DOTALL)
-        self.known: dict[str, tuple[int, ...]] = {}  # words met lately; once there are KEEP, they are the older ones
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.ids_of = np.array([ids.get(t, -1) if t is not None else -1 for t in self.lattice.names], np.int32)
+        self.byte_ids = np.array([self.bytes.get(b, -1) for b in range(256)], np.int32)
+        self.written = np.empty(len(kinds), object)
+        self.written[:] = [bytes([int(p[1:-1], 16)]) if k == BYTE else p.replace(BLANK, " ").encode() if k == NORMAL else b"" for p, k in kinds]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # parts met so far, and where their ids are
+        self.begins, self.sizes, self.store, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
 
     def parts(self) -> str:
         """A pattern of the parts that no piece goes across: words, and within them letters or digits before a mark."""
@@ -93,39 +104,118 @@ class Pieces:
         marks += [f"(?<![{re.escape(''.join(sorted(s)))}])" + re.escape(c) for c, s in before.items() if s]
         return rf"{BLANK}*+[^\W_]++(?={'|'.join(marks)})|{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+" + (f"|{line}" if line else "")
 
-    def word(self, text: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for t in self.path.tokens(text):
+    def search(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts, and how many each has."""
+        token, point, n = self.lattice.shortest_of(parts)
+        ids = self.ids_of[token]
+        other = ids < 0
+        if not other.any():
+            return ids, n
+        p = point[other]  # such a token is one character
+        size = np.ones(len(ids), np.int64)
+        size[other] = 1 + (p >= 0x80) + (p >= 0x800) + (p >= 0x10000)
+        out = np.repeat(ids, size)
+        out[np.repeat(other, size)] = self.byte_ids[np.frombuffer("".join(map(chr, p)).encode(), np.uint8)]
+        return out, np.add.reduceat(size, np.cumsum(n) - n)
+
+    def _long(self, part: str) -> np.ndarray:
+        ids: list[int] = []
+        for t in self.lattice.shortest(part):
             i = self.ids.get(t)
-            out.extend([i] if i is not None else [self.bytes[b] for b in t.encode()])
-        return tuple(out)
+            ids.extend([i] if i is not None else [self.bytes[b] for b in t.encode()])
+        return np.array(ids, np.int32)
+
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of parts that aren't known yet into the store."""
+        while new:
+            some, size = [], 0
+            while new and size < self.BLOCK // 2:
+                some.append(new.pop())
+                size += len(some[-1])
+            ids, n = self.search(some)
+            at, k = len(self.known), len(some)
+            while at + k > len(self.begins):
+                self.begins, self.sizes = np.concatenate([self.begins, np.zeros_like(self.begins)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            while self.used + len(ids) > len(self.store):
+                self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+            self.store[self.used : self.used + len(ids)] = ids
+            self.begins[at : at + k], self.sizes[at : at + k] = self.used + np.cumsum(n) - n, n
+            self.used += len(ids)
+            self.known.update(zip(some, range(at, at + k), strict=True))
+
+    def _blocks(self, texts: list[str]) -> Iterable[tuple[list[int], list[int], list[str]]]:
+        """Texts' numbers, how many parts each has, and all parts, some BLOCK characters at a time; long texts go in pieces."""
+        owners, counts, parts, size = [], [], [], 0
+        for k, text in enumerate(texts):
+            normal = (BLANK if self.prefix else "") + text.replace(" ", BLANK) if text else ""
+            at = 0
+            while at < len(normal):
+                end = at + self.BLOCK
+                if end < len(normal):  # where a blank follows something else a part begins
+                    while 0 < (end := normal.find(BLANK, end)) and normal[end - 1] == BLANK:
+                        end += 1
+                    end = len(normal) if end < 0 else end
+                piece = normal if at == 0 and end >= len(normal) else normal[at:end]
+                found = self.cut.findall(piece)
+                owners.append(k)
+                counts.append(len(found))
+                parts += found
+                size += len(piece)
+                at = end
+                if size >= self.BLOCK:
+                    yield owners, counts, parts
+                    owners, counts, parts, size = [], [], [], 0
+        if parts:
+            yield owners, counts, parts
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        out, totals = [], np.zeros(len(texts), np.int64)
+        for owners, counts, parts in self._blocks(texts):
+            known = self.known
+            new = [w for w in set(parts) if w not in known]
+            longs = {w: self._long(w) for w in new if len(w) > self.LONG}
+            if len(known) + len(new) > self.KEEP:
+                self._forget()
+                known, new = self.known, list(set(parts))
+            self._learn([w for w in new if len(w) <= self.LONG])
+            slot = np.fromiter((known.get(w, -1) for w in parts) if longs else map(known.__getitem__, parts), np.int64, len(parts))
+            begin, n = self.begins[slot], self.sizes[slot]
+            if longs:
+                where = np.flatnonzero(slot < 0)
+                n[where] = [len(longs[parts[i]]) for i in where]
+                begin[where] = 0
+            ends = np.cumsum(n)
+            place = np.arange(ends[-1]) - np.repeat(ends - n - begin, n)
+            if longs:  # their places point beyond what is kept
+                inside = np.repeat(slot >= 0, n)
+                ids = np.empty(len(place), np.int32)
+                ids[inside] = self.store[place[inside]]
+                ids[~inside] = np.concatenate([longs[parts[i]] for i in where])
+            else:
+                ids = self.store[place]
+            out.append(ids)
+            first = np.cumsum(counts) - counts
+            full = np.flatnonzero(counts)
+            np.add.at(totals, np.array(owners)[full], np.add.reduceat(n, first[full]))
+        return np.concatenate(out) if out else np.empty(0, np.int32), totals
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        normal = (BLANK if self.prefix else "") + text.replace(" ", BLANK)
-        if len(self.known) > self.KEEP:
-            self.known, self.older = {}, self.known
-        known, older, out = self.known, self.older, []
-        for w in self.cut.findall(normal):
-            ids = known.get(w)
-            if ids is None:
-                ids = older.get(w) or self.word(w)
-                if len(w) <= 64:
-                    known[w] = ids
-            out.extend(ids)
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts whose ids are between the offsets."""
+        out = []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            text = b"".join(self.written[ids[a:b]].tolist()).decode("utf-8", "replace")
+            if BLANK in text:  # of byte pieces
+                text = text.replace(BLANK, " ")
+            out.append(text[1:] if self.prefix and text.startswith(" ") else text)
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        parts = bytearray()
-        for i in ids:
-            piece, kind = self.kinds[i]
-            if kind == BYTE:
-                parts.append(int(piece[1:-1], 16))
-            elif kind == NORMAL:
-                parts += piece.encode()
-        text = parts.decode("utf-8", "replace").replace(BLANK, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        a = np.fromiter(ids, np.int64)
+        return self.decode_all(a, np.array([0, len(a)]))[0]
 
 
 _loaded: dict[str, Pieces] = {}
@@ -142,8 +232,8 @@ def encode_column(path: str, text_col: Column | str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(t: pa.Array) -> pa.Array:
-        p = pieces(path)
-        return pa.array([p.encode(x) for x in as_texts(t)], pa.list_(pa.int32()))
+        ids, n = pieces(path).encode_all(as_texts(t))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
 
     return encode(F.col(text_col) if isinstance(text_col, str) else text_col)
 
@@ -153,8 +243,9 @@ def decode_column(path: str, ids_col: Column | str) -> Column:
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        p = pieces(path)
-        return pa.array([p.decode(x or ()) for x in ids.to_pylist()], pa.string())
+        flat = ids.fill_null([]) if ids.null_count else ids
+        offsets = flat.offsets.to_numpy()
+        return pa.array(pieces(path).decode_all(flat.values.to_numpy(zero_copy_only=False), offsets), pa.string())
 
     return decode(F.col(ids_col) if isinstance(ids_col, str) else ids_col)
 

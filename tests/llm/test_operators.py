@@ -61,6 +61,29 @@ def test_pieces(spark, odd, none):
     assert pieces.encode_documents(none, path).count() == 0
 
 
+def test_the_shortest_path_is_the_library_s(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, p = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Pieces(path)
+    r = np.random.default_rng(3)
+    signs = list("abcdeeeiiinnorstuABZ   .,'-\n\t019éñß中😀▁")
+    texts = ["", *("".join(r.choice(signs, r.integers(1, 120))) for _ in range(400)), "y" * 3000, "ab" * 90 + " " * 70 + "q"]
+    want = [sp.encode(t) for t in texts]
+    for block, keep, long in ((1 << 20, 10**6, 64), (50, 300, 5)):  # all at once; long texts in pieces, words forgotten, many searched one by one
+        monkeypatch.setattr(p, "BLOCK", block)
+        monkeypatch.setattr(p, "KEEP", keep)
+        monkeypatch.setattr(p, "LONG", long)
+        ids, n = p.encode_all(texts)
+        ends = np.cumsum(n)
+        assert [ids[a:b].tolist() for a, b in zip(ends - n, ends, strict=True)] == want
+        assert p.decode_all(ids, np.concatenate([[0], ends])) == [t.replace("▁", " ") for t in texts]
+    names = p.lattice.names
+    a, b = (r.integers(2, len(names), 5000) for _ in range(2))
+    fit = p.lattice.fits(a, b)
+    assert (fit == [p.lattice.m.fits(names[x], names[y]) for x, y in zip(a, b, strict=True)]).all() and (fit == p.lattice.fits(a, b)).all()
+
+
 def test_audio(spark, odd, none):
     for r in audio.features(audio.encode(odd)).join(odd.select("doc_id", "text"), "doc_id").collect():
         t = (r.text or "").encode()
