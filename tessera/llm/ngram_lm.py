@@ -41,8 +41,10 @@ VOCABULARY = (1 << BITS) - WORDS
 LEAST_COUNT = 2
 #: Weight of the shorter run's probability, in tokens.
 MU = 4.0
-#: Bytes of text in a chunk, and tokens of the corpus for each bucket.
-CHUNK_BYTES, BUCKET_TOKENS = 16 << 20, 1_000_000
+#: Bytes of text in a chunk, and tokens of the corpus for each bucket: they bound what a task holds.
+CHUNK_BYTES, BUCKET_TOKENS = 8 << 20, 1_000_000
+#: Tokens whose losses are reckoned at a time, in whole texts.
+BLOCK_TOKENS = 200_000
 BACKGROUND, TARGET, NEITHER = 0, 1, 2
 
 _LOW = (1 << BITS) - 1
@@ -176,9 +178,13 @@ def _asked(buckets: int):
             for i in range(b.num_rows):
                 marks, lengths, tokens = (unpacked(b.column(c)[i].as_py(), k) for c, k in (("marks", np.int32), ("lengths", np.int64), ("tokens", np.int32)))
                 keys, owner, _ = runs(tokens, lengths)
-                role = marks[owner] >> 1
-                u, inverse = np.unique(keys, return_inverse=True)
-                n = [np.bincount(inverse, role == r, len(u)).astype(np.uint32) for r in (BACKGROUND, TARGET)]
+                role = (marks[owner] >> 1).astype(np.int8)
+                order = np.argsort(keys)
+                keys, role = keys[order], role[order]
+                first = np.flatnonzero(np.diff(keys, prepend=-1))
+                u = keys[first]
+                n = [np.add.reduceat(role == r, first, dtype=np.uint32) if len(first) else np.empty(0, np.uint32) for r in (BACKGROUND, TARGET)]
+                del keys, owner, role
                 order, at = dealt(u, buckets)
                 full = np.flatnonzero(np.diff(at))
                 parts = [order[at[k] : at[k + 1]] for k in full]
@@ -259,20 +265,33 @@ def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str
     def scores(c: pa.Table, answers: pa.Table) -> pa.Table:
         ids = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(c["ids"][0].as_py())).read_all()["id"]
         marks, lengths, tokens = (unpacked(c[x][0].as_py(), k) for x, k in (("marks", np.int32), ("lengths", np.int64), ("tokens", np.int32)))
-        keys, _, _ = runs(tokens, lengths)
+        keys = runs(tokens, lengths)[0]
         u, inverse = np.unique(keys, return_inverse=True)
         order, _ = dealt(u, buckets)
+        place = np.empty(len(u), np.int32)  # of each run in what is answered
+        place[order] = np.arange(len(u), dtype=np.int32)
+        place = place[inverse]
+        del keys, u, inverse, order
         answers = answers.sort_by("bucket")
         counts = {}
         for x in ("b3", "b2", "t3", "t2"):
-            whole = np.empty(len(u), np.int64)
-            if len(u):
-                whole[order] = np.concatenate([unpacked(v, np.uint32) for v in answers[x].to_pylist()])
-            counts[x] = whole[inverse]
-        found = losses(tokens, lengths, marks >> 1, counts, vocabulary.value)
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        mean = lambda r: np.bincount(owner, found[r], len(lengths)) / np.maximum(lengths, 1)
-        out = pa.table([ids, pa.array(lengths), pa.array(mean(TARGET), pa.float64()), pa.array(mean(BACKGROUND), pa.float64())], names=[id_col, "n_tokens", "target_loss", "background_loss"])
+            if len(place):
+                counts[x] = np.concatenate([unpacked(v, np.uint32) for v in answers[x].to_pylist()])[place]
+            else:
+                counts[x] = np.empty(0, np.uint32)
+        del place
+        begins, begin_runs = np.concatenate([[0], np.cumsum(lengths)]), np.concatenate([[0], np.cumsum(lengths + (lengths > 0))])
+        cuts = np.unique(np.concatenate([np.searchsorted(begins, np.arange(0, begins[-1], BLOCK_TOKENS), "right") - 1, [0, len(lengths)]]))
+        means: dict[int, list[np.ndarray]] = {BACKGROUND: [], TARGET: []}
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            n = lengths[i:j]
+            some = {x: v[begin_runs[i] : begin_runs[j]].astype(np.int64) for x, v in counts.items()}
+            found = losses(tokens[begins[i] : begins[j]], n, marks[i:j] >> 1, some, vocabulary.value)
+            owner = np.repeat(np.arange(len(n)), n)
+            for r, loss in found.items():
+                means[r].append(np.bincount(owner, loss, len(n)) / np.maximum(n, 1))
+        target_loss, background_loss = (pa.array(np.concatenate(means[r]) if means[r] else np.empty(0), pa.float64()) for r in (TARGET, BACKGROUND))
+        out = pa.table([ids, pa.array(lengths), target_loss, background_loss], names=[id_col, "n_tokens", "target_loss", "background_loss"])
         return out.filter(pa.array((marks & 1).astype(bool)))
 
     out = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(scores, head)

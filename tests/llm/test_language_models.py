@@ -61,12 +61,14 @@ def same(got, want):
         assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-6 and abs(g[3] - w[3]) < 1e-6
 
 
-def test_losses_are_those_of_the_definition(spark):
+def test_losses_are_those_of_the_definition(spark, monkeypatch):
     docs = common.table(spark, DIR, "documents").limit(40).union(common.table(spark, DIR, "documents").limit(3)).select("doc_id", "text")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     want = brute(rows, lambda i: i % 3 == 0)
     same(ngram_lm.score(docs, F.col("doc_id") % 3 == 0).collect(), want)
     same(ngram_lm.score(docs, F.col("doc_id") % 3 == 0, chunk_bytes=1, bucket_tokens=500).collect(), want)
+    monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 100)
+    same(ngram_lm.score(docs, F.col("doc_id") % 3 == 0).collect(), want)
     probes = [(1, "of the qqq"), (2, ""), (None, None), (3, rows[5][1]), (3, " ")]
     got = ngram_lm.score(docs, F.col("doc_id") % 3 == 0, scored=spark.createDataFrame(probes, "doc_id int, text string"))
     assert dict(got.dtypes)["doc_id"] == "int"
