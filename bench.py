@@ -8,9 +8,10 @@ import time
 
 from pyspark.sql import SparkSession
 
+from tessera.operators import features
 from tessera.plans import linkage
 
-HEADLINES = ("candidates_union", "group_features", "grid_search", "macro_f05", "id_lists", "stack_features")
+HEADLINES = ("name_forms", "address_forms", "candidates_union", "group_features", "grid_search", "macro_f05", "id_lists", "stack_features")
 
 
 def main() -> None:
@@ -25,6 +26,11 @@ def main() -> None:
         tables = linkage.prepare(spark, [name], tables)
         linkage.run(spark, name, tables).write.format("noop").mode("overwrite").save()
         took[f"er_{name}"] = round(time.time() - began, 3)
+    began = time.time()
+    tables |= {n: linkage.run(spark, n, tables) for n in ("labelled",)}
+    pairs = tables["labelled"].select("cand", "s1", "country", "fold", "label", *features.CANDIDATE)
+    features.all_features(pairs, tables["clean"]).write.format("noop").mode("overwrite").save()
+    took["er_features"] = round(time.time() - began, 3)
     print(json.dumps({"metric": "headline linkage queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
 
 

@@ -49,7 +49,13 @@ STANDALONE = r"(?<![\w\-/])(\d+)(?![\w\-/])"
 
 ADDRESS_COLUMNS = ("addr_clean", "house_no", "postcode", "state", "numbers", "landmark", "addr_missing")
 
-_STATE_OF = {name: code for code, names in STATES.items() for name in (code, *names)}
+
+def state_codes() -> dict[str, str]:
+    """The code that each name or code of a state stands for; of codes given twice the later one."""
+    return {name: code for code, names in STATES.items() for name in (code, *names)}
+
+
+_STATE_OF = state_codes()
 
 
 def _no_zeros(c: Column) -> Column:

@@ -1,11 +1,11 @@
-"""Features of a pair of cleaned records; all but the five text scorers are native expressions."""
+"""Features of a pair of cleaned records; all but the text scorers, which are one function, are native expressions."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .address import ADDRESS_COLUMNS
-from .similarity import score
+from .similarity import scores
 from .text import NAME_COLUMNS
 
 #: Feature, scorer, column of both records.
@@ -39,12 +39,17 @@ def string_features(pairs: DataFrame) -> DataFrame:
 
     Nulls don't occur in cleaned records; a feature of a null is null or 0. Scores are rounded to six digits.
     """
+    alt = {f"{side}_alias": F.when(F.col(f"{side}_name_alt") != "", F.col(f"{side}_name_alt")).otherwise(F.col(f"{side}_name_core")) for side in "ab"}
+    crossed = {"a_cross1": alt["a_alias"], "b_cross1": F.col("b_name_core"), "a_cross2": F.col("a_name_core"), "b_cross2": alt["b_alias"]}
+    pairs = pairs.withColumns(alt | crossed)
+    wanted = [*SCORED, *((f"alt_{c}", "token_set_ratio", c) for c in ("alias", "cross1", "cross2"))]
+    text = sorted({f"{side}_{c}" for _, _, c in wanted for side in "ab"})
+    pairs = pairs.withColumn("_scores", scores(wanted, text))
+    s = F.col("_scores")
     a, b = ({c: F.col(f"{side}_{c}") for c in RECORD_COLUMNS} for side in "ab")
-    f = {n: F.round(score(s, a[c], b[c]), 6) for n, s, c in SCORED}
-    alt_a, alt_b = (F.when(r["name_alt"] != "", r["name_alt"]).otherwise(r["name_core"]) for r in (a, b))
+    f = {n: s[n] for n, _, _ in SCORED}
     some_alt = (a["name_alt"] != "") | (b["name_alt"] != "")
-    alias = F.greatest(*(score("token_set_ratio", x, y) for x, y in ((a["name_core"], b["name_core"]), (alt_a, b["name_core"]), (a["name_core"], alt_b), (alt_a, alt_b))))
-    f |= {"alt_best": F.round(alias, 6), "has_alt": _flag(some_alt)}
+    f |= {"alt_best": F.greatest(s["n_set"], s["alt_alias"], s["alt_cross1"], s["alt_cross2"]), "has_alt": _flag(some_alt)}
     for name, c in COMPARED:
         known, same = (a[c] != "") & (b[c] != ""), a[c] == b[c]
         f |= {f"{name}_eq": _flag(known & same), f"{name}_conf": _flag(known & ~same), f"{name}_miss": _flag(~known)}
@@ -69,5 +74,5 @@ def string_features(pairs: DataFrame) -> DataFrame:
     }
     for side, r in (("a", a), ("b", b)):
         f |= {f"nonascii_{side}": r["is_nonlatin"], f"dom_{side}": r["is_domain"], f"amiss_{side}": r["addr_missing"], f"len_{side}": F.length(r["name_core"]), f"ntok_{side}": F.size(_word_list(r["name_core"]))}
-    sides = {f"{side}_{c}" for side in "ab" for c in RECORD_COLUMNS}
+    sides = {f"{side}_{c}" for side in "ab" for c in RECORD_COLUMNS} | alt.keys() | crossed.keys() | {"_scores"}
     return pairs.select(*(F.col(f"`{c}`") for c in pairs.columns if c not in sides), *(c.alias(n) for n, c in f.items()))

@@ -4,29 +4,49 @@ ratio is 200 * LCS / (len a + len b), LCS being the longest common subsequence;
 """
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def common(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit per sign of a."""
+def places_of(a: str) -> dict[str, int]:
+    """One bit for each place of each sign."""
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
+    return places
+
+
+def common(a: str, b: str, places: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, one bit per sign of a."""
+    places = places_of(a) if places is None else places
     full = (1 << len(a)) - 1
     free = full
     for c in b:
-        hit = free & places.get(c, 0)
-        free = ((free + hit) | (free - hit)) & full
+        at = places.get(c)
+        if at:
+            hit = free & at
+            free = ((free + hit) | (free - hit)) & full
     return len(a) - free.bit_count()
 
 
 def ratio(a: str, b: str) -> float:
     n = len(a) + len(b)
-    return 200.0 * common(a, b) / n if n else 100.0
+    return 100.0 if a == b else 200.0 * common(a, b) / n
+
+
+def _windows(a: str, b: str) -> float:
+    """The best ratio of a with a window of b as long as a, or less at either end. A window whose newest sign at its end, or at the text's end
+    whose first sign, isn't in a is no better than one that is tried as well; neither is one that can't reach the best so far."""
+    n, places, best = len(a), places_of(a), 0.0
+    for i in range(1 - n, len(b)):
+        w = b[max(0, i) : i + n]
+        if (w[-1] if i + n <= len(b) else w[0]) not in places or 200.0 * min(len(w), n) / (n + len(w)) <= best:
+            continue
+        best = max(best, 200.0 * common(a, w, places) / (n + len(w)))
+    return best
 
 
 def partial_ratio(a: str, b: str) -> float:
@@ -36,13 +56,12 @@ def partial_ratio(a: str, b: str) -> float:
     """
     if len(a) > len(b):
         a, b = b, a
-    n = len(a)
-    if not n:
+    if not a:
         return 0.0 if b else 100.0
     if a in b:
         return 100.0
-    found = max(ratio(a, b[max(0, i) : i + n]) for i in range(1 - n, len(b)))
-    return max(found, *(ratio(b, a[max(0, i) : i + n]) for i in range(1 - n, n))) if len(b) == n else found
+    found = _windows(a, b)
+    return max(found, _windows(b, a)) if len(b) == len(a) else found
 
 
 def token_sort_ratio(a: str, b: str) -> float:
@@ -103,3 +122,29 @@ def score_udf(name: str):
 
 def score(name: str, a: Column | str, b: Column | str) -> Column:
     return score_udf(name)(a, b)
+
+
+def scores(wanted: Sequence[tuple[str, str, str]], columns: Sequence[str]) -> Column:
+    """One struct with a score for each (name, scorer, column of both records, the sides being a_* and b_*), from one crossing into Python; equal
+    pairs of texts in a batch are scored once."""
+    place = {c: i for i, c in enumerate(columns)}
+    kind = ", ".join(f"{n} double" for n, _, _ in wanted)
+
+    def apply(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for arrays in batches:
+            texts = [[x or "" for x in a.to_pylist()] for a in arrays]
+            known: dict[tuple[str, str, str], float] = {}
+            out = []
+            for _, scorer, c in wanted:
+                f, found = SCORERS[scorer], []
+                for x, y in zip(texts[place[f"a_{c}"]], texts[place[f"b_{c}"]], strict=True):
+                    key = (scorer, x, y)
+                    v = known.get(key)
+                    if v is None:
+                        v = known[key] = round(f(x, y), 6)
+                    found.append(v)
+                out.append(pa.array(found, pa.float64()))
+            yield pa.StructArray.from_arrays(out, names=[n for n, _, _ in wanted])
+
+    apply.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(apply, kind)(*columns)

@@ -30,6 +30,16 @@ DOMAIN = r"^(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9\-]*)\.(?:co\.in|com|in|net|
 MOJIBAKE = r"[ÂâÃ][\u0080-\u009f]+|[\u0080-\u009f]"
 SKELETON = (("ph", "f"), ("ck", "k"), ("q", "k"), ("c", "k"), ("z", "s"), ("w", "v"), ("x", "ks"))
 
+# The first code points of the Indic blocks, and Latin letters by place in such a block.
+INDIC_BLOCKS = (0x900, 0x980, 0xA00, 0xA80, 0xB00, 0xB80, 0xC00, 0xC80, 0xD00)
+INDIC = {
+    0x01: "N", 0x02: "N", 0x03: "H", 0x05: "a", 0x06: "aa", 0x07: "i", 0x08: "ii", 0x09: "u", 0x0A: "uu", 0x0B: "R", 0x0E: "e", 0x0F: "e", 0x10: "ai", 0x12: "o", 0x13: "o", 0x14: "au",
+    0x15: "k", 0x16: "kh", 0x17: "g", 0x18: "gh", 0x19: "ng", 0x1A: "c", 0x1B: "ch", 0x1C: "j", 0x1D: "jh", 0x1E: "ny", 0x1F: "tt", 0x20: "tth", 0x21: "dd", 0x22: "ddh", 0x23: "nn", 0x24: "t", 0x25: "th",
+    0x26: "d", 0x27: "dh", 0x28: "n", 0x29: "nnn", 0x2A: "p", 0x2B: "ph", 0x2C: "b", 0x2D: "bh", 0x2E: "m", 0x2F: "y", 0x30: "r", 0x31: "rr", 0x32: "l", 0x33: "l", 0x34: "lll", 0x35: "v", 0x36: "sh", 0x37: "ss",
+    0x38: "s", 0x39: "h", 0x3C: "", 0x3E: "aa", 0x3F: "i", 0x40: "ii", 0x41: "u", 0x42: "uu", 0x43: "R", 0x46: "e", 0x47: "e", 0x48: "ai", 0x4A: "o", 0x4B: "o", 0x4C: "au", 0x4D: "",
+    **{0x66 + d: str(d) for d in range(10)},
+}
+
 #: Letters that don't decompose into a letter and an accent.
 LETTERS = str.maketrans({"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ı": "i", "þ": "th", "Þ": "Th", "ð": "d"})
 
@@ -39,8 +49,12 @@ ACRONYM_DOT = r"(?<=\b[a-z]\.[a-z])\.|(?<=\b[a-z])\.(?=[a-z]\.)"
 NAME_COLUMNS = ("name_clean", "name_core", "name_key", "name_skel", "name_nospace", "name_alt", "name_legal", "is_domain", "is_nonlatin")
 
 
+#: Letters of the Indic scripts, whose blocks share one order: a consonant without its own vowel, vowels and their signs, digits.
+LETTERS.update({first + place: latin for first in INDIC_BLOCKS for place, latin in INDIC.items()})
+
+
 def plain(text: str) -> str:
-    """ASCII for text: accents go, other signs become blanks."""
+    """ASCII for text: accents go, Indic letters become Latin ones, other signs become blanks."""
     return "".join(c if c < "\x80" else "" if unicodedata.combining(c) else " " for c in unicodedata.normalize("NFKD", text.translate(LETTERS)))
 
 

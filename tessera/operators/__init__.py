@@ -1,0 +1 @@
+"""Operators on records and pairs: DataFrames in, DataFrames out."""

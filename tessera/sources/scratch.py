@@ -12,6 +12,8 @@ _own: list[str] = []
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or where that is unset (as in tests) a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found and not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
     return (found or _own[0]).rstrip("/")

@@ -4,10 +4,10 @@ from tessera.functions.address import ADDRESS_COLUMNS, clean_addresses
 
 # (address, clean, house, postcode, state, numbers, landmark, missing)
 CASES = [
-    ("00709 Hackberry Saint, Tilden, Texas", "709 hackberry st tilden", "709", "", "tx", "709", "", 0),
-    ("315 80th Street, Chicago, IL", "315 80th st chicago", "315", "", "il", "315 80", "", 0),
-    ("MUMBAI â\u0080\u0093 400 021, Near SBI ATM, MH", "mumbai 400021", "", "400021", "mh", "400021", "near sbi atm", 0),
-    ("తెలంగాణ, Cbr Estates, Flat No 505 4Th Block, Hyderabad, 5-513/4", "cbr estates 505 4th block hyderabad 55134", "505", "", "tg", "505 4 5 513", "", 0),
+    ("00815 Cedar Saint, Marlow, Texas", "815 cedar st marlow", "815", "", "tx", "815", "", 0),
+    ("42 19th Street, Denver, CO", "42 19th st denver", "42", "", "co", "42 19", "", 0),
+    ("PUNE â\u0080\u0093 411 038, Near City Mall, MH", "pune 411038", "", "411038", "mh", "411038", "near city mall", 0),
+    ("తెలంగాణ, Lake View, Flat No 303 2Nd Block, Warangal, 7-221/9", "lake view 303 2nd block warangal 72219", "303", "", "tg", "303 2 7 221 9", "", 0),
     ("", "", "", "", "", "", "", 1),
     (None, "", "", "", "", "", "", 1),
     ("  ", "", "", "", "", "", "", 1),

@@ -19,8 +19,14 @@ def test_every_query_has_sql():
     assert catalog.queries().keys() - catalog.WITHOUT_SQL.keys() == catalog.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", ["raw", "hash_folds", "candidates_union", "group_features", "jaro_winkler", "expected_f", "macro_f05", "id_lists", "validate_findings"])
-def test_same_as_sql(spark, name):
+@pytest.fixture(scope="module")
+def tables(spark):
+    """The base tables and the costly steps, written once for all queries."""
+    return linkage.prepare(spark, linkage.QUERIES, {t: spark.read.parquet(f"{DIR}/{t}.parquet") for t in linkage.BASE})
+
+
+@pytest.mark.parametrize("name", linkage.QUERIES)
+def test_same_as_sql(spark, tables, name):
     con = duckdb.connect()
     for t in linkage.BASE:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
@@ -28,7 +34,7 @@ def test_same_as_sql(spark, name):
     columns = sorted(c[0] for c in want.description)
     order = [c[0] for c in want.description]
     rows = want.fetchall()
-    got = catalog.queries()[f"er_{name}"](spark, DIR)
+    got = linkage.run(spark, name, {k: v for k, v in tables.items() if k != name})
     assert sorted(got.columns) == columns
     shown = lambda v: round(float(v), 6) if isinstance(v, float) else v
     assert sorted(repr([shown(r[c]) for c in columns]) for r in got.collect()) == sorted(repr([shown(r[order.index(c)]) for c in columns]) for r in rows)
