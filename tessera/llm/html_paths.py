@@ -7,13 +7,17 @@ where these hold half of the fused weight; elsewhere those below the common ance
 links, and headings beside it. Menus, headers, footers, sidebars, adverts, forms and reader comments go at once. Names that can
 be those of an article's parts as well (all but adverts and comments inside an article) only remove an element none of whose paths passes.
 
-A null or empty page has an empty text. Broken markup is read leniently: unclosed elements end where an element above them
-ends, and a stray end tag is passed over.
+A null or empty page has an empty text; repeated rows have one text each, an empty table has none, other columns are ignored. Broken markup is
+read leniently: unclosed elements end where an element above them ends, and a stray end tag is passed over. Quotes only open
+after an attribute's equals sign; one that is never closed is an ordinary sign. Every step takes time in proportion to the page, however deep
+its elements are.
 """
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -43,32 +47,46 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold text rather than parts of a page, and sections: their names are no more than a hint.
 HINTED = frozenset("section p li dt dd td th pre blockquote figure figcaption".split())
 TEXTUAL = HINTED - {"section"}
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+ATTRIBUTE = re.compile(r"([^\s=>\"'/][^\s=>/]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+TELLING = frozenset("class id role hidden aria-hidden style".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("beside", "depth", "doubt", "hidden", "kind", "parent", "path", "tag")
+    """An element. What an element above it decides is kept on it, so nothing is looked for upwards."""
 
-    def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
-        self.tag, self.parent = tag, parent
-        self.depth = parent.depth + 1 if parent else 0
+    __slots__ = ("article", "beside", "doubt", "hidden", "holder", "linked", "main", "number", "open", "parent", "path", "tag")
+
+    def __init__(self, tag: str, parent: Node | None, number: int = 0, path: int = 0, attributes: str = ""):
+        self.tag, self.parent, self.number, self.path = tag, parent, number, path
         self.beside = parent.beside if parent else False
         self.hidden = parent.hidden if parent else False
         self.doubt: Node | None = parent.doubt if parent else None  # the outermost element with a doubtful name
-        self.kind = tag
+        self.linked = tag == "a" or (parent is not None and parent.linked)
+        self.article: Node | None = parent.article if parent else None  # the outermost ones
+        self.main: Node | None = parent.main if parent else None
+        self.holder: Node = parent.holder if parent and tag in INLINE else self  # the nearest that isn't inline
+        #: Open elements by tag up to the nearest bound.
+        self.open: Counter = Counter() if parent is None or tag in BOUNDS else parent.open
+        self.open[tag] += 1
         if parent is not None and not self.beside:
-            article = parent.within("article", "main")
+            article = self.article is not None or self.main is not None
             self.beside = tag in BESIDE or (tag == "header" and not article)
             if attributes and not self.beside and tag not in ("html", "body", "article", "main"):
-                named = {k.lower(): (v or "").strip("\"'").lower() for k, v in NAMED.findall(attributes)}
+                named: dict[str, str] = {}
+                for k, v in ATTRIBUTE.findall(attributes):
+                    if k.lower() in TELLING:
+                        named.setdefault(k.lower(), v.strip("\"'").lower())
                 if named.get("aria-hidden") == "true" or "hidden" in named or "display:none" in named.get("style", "").replace(" ", ""):
                     self.beside = self.hidden = True
                 elif tag not in HEADINGS:
                     self.mark(named, article)
-        self.path = (parent.path + "/" if parent else "") + tag if tag not in INLINE or tag == "a" else parent.path  # type: ignore[union-attr]
+        if tag == "article" and self.article is None:
+            self.article = self
+        if tag == "main" and self.main is None:
+            self.main = self
 
     def mark(self, named: dict[str, str], article: bool) -> None:
         """Judge by the words in class, id and role."""
@@ -82,18 +100,6 @@ class Node:
         elif self.doubt is None and self.tag not in INLINE:
             self.doubt = self
 
-    def within(self, *tags: str) -> bool:
-        return self.outermost(*tags) is not None
-
-    def outermost(self, *tags: str) -> Node | None:
-        n: Node | None = self
-        out = None
-        while n is not None:
-            if n.tag in tags:
-                out = n
-            n = n.parent
-        return out
-
 
 class Block:
     __slots__ = ("linked", "node", "parts", "plain")
@@ -108,11 +114,93 @@ class Block:
         return self.linked * 2 >= len(self.text())
 
 
+class Scanner:
+    """Tags and the texts between them."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.missing: set[str] = set()  # what doesn't occur any more
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def close(self, at: int) -> int:
+        """Where the tag ends whose attributes begin at a place; -1 if it doesn't."""
+        page = self.page
+        while True:
+            end = self.find(">", at)
+            if end < 0:
+                return -1
+            sign = page.find("=", at, end)
+            if sign < 0:
+                return end
+            at = sign + 1
+            while at < len(page) and page[at].isspace():
+                at += 1
+            quote = page[at : at + 1]
+            if quote in ('"', "'") and quote:
+                shut = self.find(quote, at + 1)
+                at = at + 1 if shut < 0 else shut + 1
+            else:
+                while at < len(page) and page[at] != ">" and not page[at].isspace():
+                    at += 1
+
+    def tags(self) -> Iterator[tuple[str, str, str, str, int]]:
+        """(text before, "/" or "", tag, attributes, place after); a tag of "" for what is left out, one of "#" after the last text."""
+        page, at, begin = self.page, 0, 0
+        while True:
+            at = page.find("<", at)
+            if at < 0 or at + 1 >= len(page):
+                break
+            sign = page[at + 1]
+            if sign in "!?" or (sign == "/" and not page[at + 2 : at + 3].isalpha()):
+                if page.startswith("<!--", at):
+                    end = self.find("-->", at + 2)
+                    end = end + 2 if end >= 0 else -1
+                else:
+                    end = self.find(">", at)
+                end = len(page) if end < 0 else end + 1
+                yield page[begin:at], "", "", "", end
+            else:
+                m = TAG.match(page, at)
+                if m is None:
+                    at += 1
+                    continue
+                end = self.close(m.end())
+                if end < 0:  # a tag that never ends is text
+                    at += 1
+                    continue
+                yield page[begin:at], m[1], m[2].lower(), page[m.end() : end], end + 1
+                end = self.skip if self.skip > end else end + 1
+            at = begin = end
+        yield page[begin:], "", "#", "", len(page)
+
+    skip = 0  # set by the reader: go on here
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, each with its nearest element that isn't inline."""
     root = Node("#", None)
-    top, out, block, at = root, [], None, 0
-    low = None
+    top, out, block = root, [], None
+    scan, number, paths = Scanner(page), 0, {}
+    opened: Counter = Counter()
+    low = page.lower()
+    low = low if len(low) == len(page) else page
+    endless: set[str] = set()
+
+    def leave(n: Node) -> None:
+        """Close the open elements up to n."""
+        nonlocal top
+        stop = n.parent
+        while top is not stop:
+            top.open[top.tag] -= 1
+            opened[top.tag] -= 1
+            top = top.parent  # type: ignore[assignment]
 
     def add(text: str) -> None:
         nonlocal block
@@ -120,46 +208,38 @@ def blocks(page: str) -> list[Block]:
             return
         if "&" in text:
             text = unescape(text)
+        blank = not text.strip()
         if block is None:
-            if not text.strip():
+            if blank:
                 return
-            holder = top
-            while holder.tag in INLINE and holder.parent is not None:
-                holder = holder.parent
-            block = Block(holder)
+            block = Block(top.holder)
             out.append(block)
         if top.hidden and not block.node.hidden:
             return
         block.parts.append(text)
-        if text.strip() and (not top.beside or block.node.beside):
+        if not blank and (not top.beside or block.node.beside):
             block.plain = True  # not all of it stands in marked inline elements
-        if top.within("a"):
+        if top.linked:
             block.linked += len(text)
 
-    while True:
-        m = TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        add(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    for text, slash, tag, attributes, at in scan.tags():
+        add(text)
+        if not tag or tag == "#":
             continue
-        tag = m[2].lower()
         if tag == "br":
             if block is not None:
                 block.parts.append(" ")
             continue
         if tag in RAW:
-            if not m[1] and not m[3].endswith("/"):
-                low = page.lower() if low is None and len(page.lower()) == len(page) else low
-                source = low if low is not None else page
-                end = source.find(f"</{tag}", at)
+            if not slash and not attributes.endswith("/") and tag not in endless:
+                end = low.find(f"</{tag}", at)
                 if end >= 0:
                     close = page.find(">", end)
-                    at = close + 1 if close >= 0 else len(page)
+                    scan.skip = close + 1 if close >= 0 else len(page)
                 elif tag in ("script", "style"):
-                    at = len(page)
+                    scan.skip = len(page)
+                else:
+                    endless.add(tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -167,36 +247,41 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag not in INLINE:
             block = None
-        if m[1]:
-            n: Node | None = top
-            while n is not None and n.tag != tag:
+        if slash:
+            if not (top.open if tag in INLINE and top.tag not in BOUNDS else opened)[tag] or (tag in INLINE and top.tag in BOUNDS):
+                continue
+            n = top
+            while n.tag != tag and n.parent is not None:
                 if n.tag in BOUNDS and tag in INLINE:
-                    n = None
                     break
                 n = n.parent
-            if n is not None and n.parent is not None:
-                top = n.parent
+            if n.tag == tag and n.parent is not None:
+                leave(n)
             continue
-        if tag not in INLINE:
-            n = top  # a block ends an open paragraph or heading, a list item the one before, and so on
-            ends = ENDS.get(tag, ())
-            hit = None
-            while n is not None and n.tag not in BOUNDS:
-                if n.tag == "p" or n.tag in ends:
+        if tag not in INLINE:  # a block ends an open paragraph or heading, a list item the one before, and so on
+            ends = ENDS.get(tag, frozenset())
+            here = top.open
+            if here["p"] > 0 or any(here[x] > 0 for x in ends):
+                n, hit = top, None
+                while n is not None and n.tag not in BOUNDS:
+                    if n.tag == "p" or n.tag in ends:
+                        hit = n
+                    n = n.parent  # type: ignore[assignment]
+                if n is not None and n.tag in ends:
                     hit = n
-                n = n.parent
-            if n is not None and n.tag in ends:
-                hit = n
-            if hit is not None and hit.parent is not None:
-                top = hit.parent
-        if not m[3].endswith("/"):
-            top = Node(tag, top, m[3])
+                if hit is not None and hit.parent is not None:
+                    leave(hit)
+        if not attributes.endswith("/"):
+            number += 1
+            path = top.path if tag in INLINE and tag != "a" else paths.setdefault((top.path, tag), len(paths) + 1)
+            top = Node(tag, top, number, path, attributes)
+            opened[tag] += 1
     return [b for b in out if b.text()]
 
 
-def path_weights(found: list[Block]) -> dict[str, float]:
+def path_weights(found: list[Block]) -> dict[int, float]:
     """The fused ratio of each path: text and punctuation by node, smoothed along the page, damped by links."""
-    total: dict[str, list[float]] = {}
+    total: dict[int, list[float]] = {}
     for b in found:
         t = b.text()
         r = total.setdefault(b.node.path, [0.0, 0.0, 0.0, 0.0])
@@ -207,7 +292,7 @@ def path_weights(found: list[Block]) -> dict[str, float]:
     line = [b.node.path for b in found]
     ratio = {p: (r[1] / r[0], (r[2] + 0.1) / r[0], 1 - r[3] / max(r[1], 1)) for p, r in total.items()}
     kernel = [math.exp(-d * d / 2) for d in range(-2, 3)]
-    smooth: dict[str, list[float]] = {}
+    smooth: dict[int, list[float]] = {}
     for i, p in enumerate(line):
         near = [(k, ratio[line[i + d]]) for d, k in zip(range(-2, 3), kernel, strict=True) if 0 <= i + d < len(line)]
         whole = sum(k for k, _ in near)
@@ -231,34 +316,42 @@ def main_text(page: str) -> str:
     strong = [b for b in kept if passes(b)]
     mass = [weight[b.node.path] * len(b.text()) for b in strong]
     for tag in ("article", "main"):
-        regions = [b.node.outermost(tag) for b in strong]
+        region = lambda n: getattr(n, tag)  # noqa: B023,E731
+        regions = [region(b.node) for b in strong]
         if sum(m for m, r in zip(mass, regions, strict=True) if r is not None) >= 0.5 * sum(mass):
             whole = {r for r in regions if r is not None}
-            return "\n\n".join(b.text() for b in kept if passes(b) or b.node.outermost(tag) in whole)
+            return "\n\n".join(b.text() for b in kept if passes(b) or region(b.node) in whole)
     root = common_ancestor([b.node for b in strong])
     # a block's own element isn't the root of a page
     while root.parent is not None and (root.tag in TEXTUAL or root.tag in HEADINGS):
         root = root.parent
 
+    known = {root: True}
+
     def inside(n: Node | None) -> bool:
-        while n is not None and n is not root:
+        chain = []
+        while n is not None and n not in known:
+            chain.append(n)
             n = n.parent
-        return n is root
+        found = n is not None and known[n]
+        known.update(dict.fromkeys(chain, found))
+        return found
 
     title = lambda b: b.node.tag in HEADINGS and b.node.parent is root.parent
     return "\n\n".join(b.text() for b in kept if (inside(b.node) and (passes(b) or weight[b.node.path] >= cut * 0.2 or not b.mostly_links())) or title(b))
 
 
 def common_ancestor(nodes: list[Node]) -> Node:
-    """The deepest element that holds all of the nodes, or is one of them and holds the others."""
-    at = nodes[0]
-    for n in set(nodes):
-        while at is not n:
-            if at.depth >= n.depth and at.parent is not None:
-                at = at.parent
-            else:
-                n = n.parent or n
-    return at
+    """The deepest element that holds all of the nodes, or is one of them and holds the others: that of the first and the last in page order."""
+    first, last = min(nodes, key=lambda n: n.number), max(nodes, key=lambda n: n.number)
+    above = set()
+    at: Node | None = first
+    while at is not None:
+        above.add(at)
+        at = at.parent
+    while last not in above:
+        last = last.parent  # type: ignore[assignment]
+    return last
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
