@@ -33,6 +33,8 @@ BANDS, ROWS = 30, 6
 BROADCAST_NODES = 1_000_000
 #: Groups of members whose counts bound what two nodes can have in common.
 PARTS = 64
+#: Places that a class's id goes to.
+SALTS = 16
 #: Bounds on whole numbers of members are lowered by this, for products that are rounded up.
 SLACK = 1e-6
 
@@ -217,9 +219,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
         pairs = x.hint("merge").join(y, (x["_band"] == y["_band"]) & differ & fit)
         links = materialise(links.unionByName(_verified(_distinct_pairs(pairs, least), sketches, least)), "verified")
         found = components(links)
-    named = nodes.join(found, "_node", "left").select("_node", "_least", F.coalesce("_root", "_node").alias("_root"))
-    ids = named.groupBy("_root").agg(F.min("_least").alias("_class"))
-    by_node = named.join(ids, "_root").select("_node", "_class")
+    # A class's least id comes from its members' least ids and goes back to them. Only linked nodes move, and a class with many
+    # members goes to SALTS places.
+    linked = nodes.join(found, "_node").select("_node", "_least", "_root").unionByName(nodes.join(found.select(F.col("_root").alias("_node")).distinct(), "_node", "left_semi").select("_node", "_least", F.col("_node").alias("_root")))
+    linked = materialise(linked.distinct(), "linked")
+    ids = linked.groupBy("_root").agg(F.min("_least").alias("_class")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = linked.withColumn("_salt", F.pmod(F.xxhash64("_node"), F.lit(SALTS)).cast("int")).join(ids, ["_root", "_salt"]).select("_node", "_class")
+    by_node = nodes.select("_node", "_least").join(named, "_node", "left").select("_node", F.coalesce("_class", "_least").alias("_class"))
     return sketches.select("_id", "_node").join(by_node, "_node").select(F.col("_id").alias(id_col), F.col("_class").alias("class_id"))
 
 

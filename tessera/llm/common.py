@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir, or where that is unset a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = getattr(spark, "_tessera_scratch", None)
         if not found:
             found = spark._tessera_scratch = "file://" + tempfile.mkdtemp(prefix="tessera-")

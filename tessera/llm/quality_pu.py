@@ -6,7 +6,7 @@ pi is estimated from a first classifier (positives against unlabelled): the leas
 tail to the positives' upper tail, each with a confidence margin.
 
 Nulls count as empty texts and are scored. Labels that are null are no labels. With no positive or no unlabelled
-row there is nothing to learn and every score is 0.5. Repeated rows are scored alike.
+row there is nothing to learn and every score is 0.5. Repeated rows are scored alike; of rows that repeat an id in the sample one is learnt, whatever their order.
 """
 from __future__ import annotations
 
@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
             x = features(as_bytes(b.column("_text")))
             yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.string()), b.column("_positive"), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "positive", "x"])
 
-    got = texts.mapInArrow(run, "id string, positive boolean, x binary").toPandas().drop_duplicates("id").sort_values("id")
+    got = texts.mapInArrow(run, "id string, positive boolean, x binary").toPandas().sort_values(["id", "x"]).drop_duplicates("id")
     vectors = lambda part: np.stack([np.frombuffer(v, np.float32) for v in part]) if len(part) else np.zeros((0, N_FEATURES), np.float32)
     order = got.id.map(lambda s: hash_order(s))
     got = got.iloc[np.argsort(order.to_numpy(), kind="stable")]

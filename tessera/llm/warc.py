@@ -8,8 +8,10 @@ Of records with equal payloads of at least least_bytes bytes the one with the le
 revisits; smaller payloads are all responses. Rows without an id come after those with one; rows that repeat the least id are
 responses all. Null payloads are empty ones; null addresses are empty ones.
 
-Bundles are written under names of their own and moved into place when they are whole, so a task that is run again, or
-twice at a time, leaves one whole bundle.
+Each attempt of a task writes bundles under names of its own and moves them into place when they are whole. The index holds the
+committed attempt's names, and only what it names is read: what other attempts left is never looked at. A record's identifier comes from its page's
+id, so rows that repeat an id share it; a row without one gets one of its bundle and place. Control characters in ids and addresses are escaped. Other columns are ignored,
+and an empty table gives an empty index.
 """
 from __future__ import annotations
 
@@ -19,6 +21,7 @@ import io
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -32,6 +35,8 @@ from .common import as_bytes, bounded_batches, materialise, record_batches, scra
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
 #: Least ids of repeated payloads are broadcast up to this many rows.
 BROADCAST_ROWS = 500_000
+#: Places that a repeated payload's least id goes to beyond that.
+SALTS = 32
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Fixed values of the seekable format.
@@ -46,15 +51,20 @@ def record_id(page_id: str | None) -> str:
     return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}"
 
 
-def record(page_id: str | None, url: str, payload: bytes, digest: str, first: str | None) -> bytes:
-    """A response, or where first is another page's id a revisit of it."""
+def escaped(text: str) -> str:
+    """One line of a header, and the text itself again by unquote()."""
+    return "".join(f"%{ord(c):02X}" if c < " " or c in "%\x7f" else c for c in text)
+
+
+def record(page_id: str | None, url: str, payload: bytes, digest: str, first: str | None, name: str | None = None) -> bytes:
+    """name: the record's identifier, if not its page's. A response, or where first is another page's id a revisit of it."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if first is not None else http + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: <{record_id(page_id)}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: <{name or record_id(page_id)}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if page_id is not None:
-        lines.append(f"X-Page-ID: {page_id}")
+        lines.append(f"X-Page-ID: {escaped(page_id)}")
     if first is not None:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{record_id(first)}>", f"X-Refers-To-Page: {first}"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{record_id(first)}>", f"X-Refers-To-Page: {escaped(first)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -130,6 +140,10 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
+def unquoted(text: str | None) -> str | None:
+    return None if text is None else unquote(text)
+
+
 def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
@@ -137,7 +151,7 @@ def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
 INDEX = "record_id string, page_id string, bundle string, frame int, offset int, length int"
 
 
-def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
+def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Write a record for each row of pages into bundles in folder, a URI that all executors reach; returns the index."""
     spark = pages.sparkSession
     bounded_batches(spark)
@@ -145,10 +159,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     base = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), payload.alias("_payload"), F.sha1(payload).alias("_sha1"))
     firsts = base.where(F.octet_length("_payload") >= least_bytes).groupBy("_sha1").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _first IS NOT NULL").select(F.col("_sha1").alias("_key"), "_first")
     firsts = materialise(firsts, "firsts")
-    if firsts.count() <= BROADCAST_ROWS:
-        firsts = F.broadcast(firsts)
     other = F.when(~F.col("_first").eqNullSafe(F.col("_id")), F.col("_first").cast("string"))
-    rows = base.join(firsts, (F.col("_sha1") == F.col("_key")) & (F.octet_length("_payload") >= least_bytes), "left").select(F.col("_id").cast("string").alias("_id"), "_url", "_payload", other.alias("_other"))
+    same = (F.col("_sha1") == F.col("_key")) & (F.octet_length("_payload") >= least_bytes)
+    if firsts.count() <= broadcast_rows:
+        joined = base.join(F.broadcast(firsts), same, "left")
+    else:  # a payload that many pages have goes to SALTS places
+        salted = firsts.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = base.withColumn("_salt", F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")).join(salted, same & (F.col("_salt") == F.col("_place")), "left")
+    rows = joined.select(F.col("_id").cast("string").alias("_id"), "_url", "_payload", other.alias("_other"))
 
     def run(it):
         task = TaskContext.get()
@@ -164,13 +182,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             out = []
             for i, url, data, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), as_bytes(b.column(2)), b.column(3).to_pylist(), strict=True):
                 if writer is None:
-                    name = f"{task.partitionId():06d}-{part:04d}.warc.zst"
-                    own = f"{base_path}/.{name}-{task.taskAttemptId()}-{uuid.uuid4().hex}"
-                    writer, part = BundleWriter(fs.open_output_stream(own)), part + 1
+                    name = f"{task.partitionId():06d}-{part:04d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.zst"
+                    own = f"{base_path}/.{name}"
+                    writer, part = BundleWriter(fs.open_output_stream(own, compression=None)), part + 1
                 url = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-                rec = record(i, url, data, base32_sha1(data), first)
+                own_id = record_id(i) if i is not None else f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'row:{name}:{len(writer.frames)}:{len(writer.buffer)}')}"
+                rec = record(i, url, data, base32_sha1(data), first, own_id)
                 frame, offset = writer.append(rec)
-                out.append((record_id(i), i, name, frame, offset, len(rec)))
+                out.append((own_id, i, name, frame, offset, len(rec)))
                 if writer.size > BUNDLE_BYTES:
                     close()
                     writer = None
@@ -201,7 +220,7 @@ def read(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
                             kind, digest = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha1:")
                             if kind == "response" and (len(body) != size or base32_sha1(body) != digest):
                                 raise ValueError(f"{name}: a payload differs from its digest")
-                            out.append((headers.get("X-Page-ID"), headers["WARC-Target-URI"], size, digest, kind, headers.get("X-Refers-To-Page")))
+                            out.append((unquoted(headers.get("X-Page-ID")), headers["WARC-Target-URI"], size, digest, kind, unquoted(headers.get("X-Refers-To-Page"))))
                         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64() if j == 2 else pa.string()) for j in range(6)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     return names.mapInArrow(run, "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string")

@@ -202,6 +202,13 @@ def test_warc(spark):
         headers, block = warc.BundleReader(pa.PythonFile(f)).record(r.frame, r.offset)
     assert headers["X-Page-ID"] == "6" and block.endswith(b"\r\n\r\nWARC/1.1")
     assert warc.round_trip(pages.limit(0)).count() == 0
+    odd = spark.createDataFrame([("a\r\nb%41", "u", "x", "c"), ("z", "u", "x", "d"), ("z", "v", "x", "e"), (None, "u", "y", "f"), (None, "u", "y", "f")], "page_id string, url string, html string, URL_ string")
+    want = sorted([("a\r\nb%41", "response", ""), ("z", "revisit", "a\r\nb%41"), ("z", "revisit", "a\r\nb%41"), ("", "response", ""), ("", "response", "")])
+    for rows in (0, 10**6):  # both sides of the switch
+        folder = common.scratch(spark, "t")
+        index = warc.write(odd, folder, broadcast_rows=rows)
+        assert sorted((r.page_id or "", r.record_type, r.refers_to or "") for r in warc.read(spark, folder, index).collect()) == want
+        assert index.select("record_id").distinct().count() == 4
 
 
 def test_main_text(spark):
@@ -276,6 +283,50 @@ def test_the_pipeline_decodes_what_it_encodes(spark, odd):
     assert len(out) == odd.count() and all(r.round_trip is True for r in out)
 
 
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage on a table with nulls, empty texts, repeated rows and clashing names, against plain Python."""
+    import corpus_pipeline
+    import sentencepiece
+
+    base = common.table(spark, DIR, "documents").limit(70).toPandas()
+    rows = [(int(r.doc_id), r.text, r.lang, r.source, int(r.n_chars), "k") for r in base.itertuples()]
+    rows += [rows[3], (900, None, None, None, None, None), (901, "", "en", "s", 0, None), (None, rows[5][1], "en", "s", 1, "n"), (902, rows[7][1] + " Added words here.", "en", "s", 2, "n"), (3, "Another text with the id three, quite unlike it. " * 4, "en", "s", 3, "n")]
+    bench = [(r.item_id, r.text) for r in common.table(spark, DIR, "benchmark").collect()]
+    rows.append((903, "Before it. " + bench[0][1] + " After it.", "en", "s", 4, "b"))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, Piece_ids string").write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        common.table(spark, DIR, t).write.parquet(str(tmp_path / f"{t}.parquet"))
+    docs, d = common.table(spark, str(tmp_path), "documents"), str(tmp_path)
+    key = lambda r: (r[0] if r[0] is not None else -1, r[1] or "", r[5] or "")
+    plain = lambda df: sorted(key(tuple(r)) for r in df.collect())
+    net, _ = quality_pu.train(docs, common.table(spark, d, "labels"))
+    good = [r for r, s in zip(rows, net.score(quality_pu.features([(r[1] or "").encode() for r in rows])), strict=True) if s >= quality_pu.THRESHOLD]
+    assert plain(corpus_pipeline.quality(spark, docs, d)) == sorted(map(key, good))
+    lexicon = toxicity.train(docs, common.table(spark, d, "labels"))
+    calm = [r for r, s in zip(rows, lexicon.score([r[1] or "" for r in rows]), strict=True) if s < toxicity.THRESHOLD]
+    assert plain(corpus_pipeline.clean(spark, docs, d)) == sorted(map(key, calm))
+    classes = brute_classes(list(enumerate(r[1] for r in rows)))
+    once = corpus_pipeline.dedup(spark, docs, d)
+    kept = plain(once)
+    of_text = {(r[1] or ""): classes[i] for i, r in enumerate(rows)}
+    assert sorted(of_text[t] for _, t, _ in kept) == sorted(set(classes.values()))  # one row of each class, none lost
+    least = {}
+    for i, r in enumerate(rows):
+        least.setdefault(classes[i], []).append(r[0] if r[0] is not None else 10**9)
+    assert all((i if i >= 0 else 10**9) == min(least[of_text[t]]) for i, t, _ in kept)
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {tuple(w[i : i + min(10, len(w))]) for _, t in bench for w in [words(t)] if w for i in range(len(w) - min(10, len(w)) + 1)}
+    hit = lambda w: any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+    assert plain(corpus_pipeline.decontaminated(spark, docs, d)) == sorted(key(r) for r in rows if not hit(words(r[1]))) and hit(words(rows[-1][1]))
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECE_MODEL))
+    out = corpus_pipeline.encoded(spark, docs, d)
+    assert out.columns[:6] == docs.columns and sorted(tuple(r[6]) for r in out.collect()) == sorted(tuple(sp.encode(r[1] or "")) for r in rows)
+    whole = corpus_pipeline.run(spark, d)
+    assert 0 < whole.count() < len(rows) and whole.where("round_trip").count() == whole.count()
+    empty = docs.limit(0)
+    assert all(stage(spark, empty, d).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
