@@ -1,10 +1,12 @@
 """Audio columns: 8-bit PCM, polyphase resampling, log-mel filterbanks and hysteresis segmentation.
 
-encode() stores payloads as WAV files (mono, 8 bits a sample) in a binary column; features() reads them back and gives each
-one's log-mel frames as tensors of a fixed shape, FRAMES x BANDS, with their spans of time, and its loud segments. The last tensor
-is filled up with the floor value; its span ends where the sound ends. as_tensors() makes Arrow's fixed-shape tensors of them.
+encode() stores payloads as WAV files (mono, 8 bits a sample) in a binary column, store() puts them into a table; features() reads them back and
+stores each one's log-mel frames as Arrow tensors of a fixed shape, FRAMES x BANDS, with their spans of time (an Arrow stream in a binary column,
+which read_tensors() reads), and its loud segments. The last tensor is filled up with the floor value; its span ends where the sound ends. The digest is
+made from the tensors as stored.
 
-A null payload is an empty one. A sound shorter than one window has one frame, filled up with silence.
+A null payload is an empty one. A sound shorter than one window has one frame, filled up with silence. Repeated rows are treated alike, an empty table
+gives an empty one, and columns of sounds beyond the media stay as they are.
 """
 from __future__ import annotations
 
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, bounded_batches, record_batches
+from .common import as_bytes, bounded_batches, materialise, record_batches
 
 RATE, TARGET = 8000, 6000
 WINDOW, HOP, BANDS, FRAMES = 256, 128, 16, 64
@@ -165,58 +167,58 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, media binary")
 
 
-_SPAN = [T.StructField("begin", T.DoubleType()), T.StructField("end", T.DoubleType())]
-TENSORS = T.ArrayType(T.StructType([*_SPAN, T.StructField("values", T.ArrayType(T.FloatType()))]))
-SEGMENTS = T.ArrayType(T.StructType(_SPAN))
+def store(sounds: DataFrame) -> DataFrame:
+    """sounds, written as a table in the shared folder and read back from there."""
+    return materialise(sounds, "media")
+
+
+SEGMENTS = T.ArrayType(T.StructType([T.StructField("begin", T.DoubleType()), T.StructField("end", T.DoubleType())]))
+
+
+def tensor_table(tensors: np.ndarray, spans: list[tuple[float, float]]) -> pa.Table:
+    """begin, end and a fixed-shape tensor in each row."""
+    column = pa.FixedShapeTensorArray.from_numpy_ndarray(np.ascontiguousarray(tensors, np.float32))
+    return pa.table({"begin": pa.array([x for x, _ in spans], pa.float64()), "end": pa.array([y for _, y in spans], pa.float64()), "tensor": column})
+
+
+def stored_tensors(tensors: np.ndarray, spans: list[tuple[float, float]]) -> bytes:
+    t, sink = tensor_table(tensors, spans), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema) as writer:
+        writer.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def read_tensors(data: bytes) -> pa.Table:
+    """The table that stored_tensors() has written."""
+    return pa.ipc.open_stream(data).read_all()
+
+
+def tensor_values(table: pa.Table) -> np.ndarray:
+    """All tensors, (k, FRAMES, BANDS)."""
+    return table["tensor"].combine_chunks().to_numpy_ndarray()
 
 
 def features(sounds: DataFrame, media_col: str = "media") -> DataFrame:
-    """sounds with samples, tensors (FRAMES * BANDS values and their span each), segments and a feature digest."""
+    """sounds with samples, stored tensors and their spans, segments and a feature digest."""
     bounded_batches(sounds.sparkSession)
     new = ["samples", "tensors", "segments", "feature"]
     if clash := {c.lower() for c in sounds.columns} & set(new):
         raise ValueError(f"there are columns {sorted(clash)} already")
     schema = T.StructType(list(sounds.schema.fields))
-    for name, kind in zip(new, (T.BinaryType(), TENSORS, SEGMENTS, T.StringType()), strict=True):
+    for name, kind in zip(new, (T.BinaryType(), T.BinaryType(), SEGMENTS, T.StringType()), strict=True):
         schema = schema.add(name, kind)
     at = sounds.columns.index(media_col)
 
     def run(it):
         span = pa.struct([("begin", pa.float64()), ("end", pa.float64())])
-        cell = pa.struct([("begin", pa.float64()), ("end", pa.float64()), ("values", pa.list_(pa.float32()))])
         for b in record_batches(it, 1 << 20):
-            samples, tensors, loud, digests = [], [], [], []
+            samples, cells, loud, digests = [], [], [], []
             for data in b.column(at).to_pylist():
                 s, t, spans, runs = analyse(data or wav(b""))
+                cells.append(stored_tensors(t, spans))
                 samples.append(s)
-                tensors.append(list(zip([x[0] for x in spans], [x[1] for x in spans], t.reshape(len(t), -1), strict=True)))
                 loud.append([{"begin": x, "end": y} for x, y in runs])
-                digests.append(feature_digest(t, runs))
-            offsets = np.cumsum([0, *map(len, tensors)]).astype(np.int32)
-            flat = [x for t in tensors for x in t]
-            values = pa.array(np.concatenate([x[2] for x in flat]) if flat else np.empty(0, np.float32))
-            inner = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * (FRAMES * BANDS)), values)
-            items = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.float64()), pa.array([x[1] for x in flat], pa.float64()), inner], fields=list(cell))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(samples, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), items), pa.array(loud, pa.list_(span)), pa.array(digests, pa.string())], [*b.schema.names, *new])
+                digests.append(feature_digest(tensor_values(read_tensors(cells[-1])), runs))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(samples, pa.binary()), pa.array(cells, pa.binary()), pa.array(loud, pa.list_(span)), pa.array(digests, pa.string())], [*b.schema.names, *new])
 
     return sounds.mapInArrow(run, schema)
-
-
-def as_tensors(values: pa.Array) -> pa.FixedShapeTensorArray:
-    """Arrow tensors of shape (FRAMES, BANDS) from the lists of values in features()."""
-    flat = values.flatten().cast(pa.float32())
-    storage = pa.FixedSizeListArray.from_arrays(flat, FRAMES * BANDS)
-    return pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.float32(), [FRAMES, BANDS]), storage)
-
-
-def write_tensors(batches, path: str) -> int:
-    """Write batches of exploded tensors (id, begin, end, values) as an Arrow file with a fixed-shape tensor column; returns the rows."""
-    writer, n = None, 0
-    for b in batches:
-        t = pa.table({"id": b.column(0), "begin": b.column(1), "end": b.column(2), "tensor": as_tensors(b.column(3))})
-        writer = writer or pa.ipc.new_file(path, t.schema)
-        writer.write_table(t)
-        n += len(t)
-    if writer:
-        writer.close()
-    return n

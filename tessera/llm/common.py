@@ -66,7 +66,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df into the shared folder and read it back: lineage ends there and lost executors lose nothing."""
     spark = df.sparkSession
     path = scratch(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each text stored as 8-bit sound, read back and analysed."""
-    s = audio.features(audio.encode(table(spark, sf_dir, "documents")))
+    s = audio.features(audio.store(audio.encode(table(spark, sf_dir, "documents"))))
     return s.select(
         "doc_id", "n_bytes", F.octet_length("samples").cast("long").alias("payload_bytes"), F.sha2("samples", 256).alias("payload_sha256"), F.crc32(F.expr("substring(samples, -64)")).alias("tail_crc32"),
         F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",

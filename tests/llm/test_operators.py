@@ -1,5 +1,6 @@
 """The corpus operators against brute force, round trips and edge cases: nulls, empty and long texts, ties, repeats, empty tables."""
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -88,13 +89,61 @@ def test_audio(spark, odd, none):
     for r in audio.features(audio.encode(odd)).join(odd.select("doc_id", "text"), "doc_id").collect():
         t = (r.text or "").encode()
         assert r.n_bytes == len(t) and len(r.samples) % 64 == 0 and r.samples[: len(t)] == t and not any(r.samples[len(t) :])
-        assert audio.read_wav(r.media)[0] == r.samples and all(len(x["values"]) == audio.FRAMES * audio.BANDS for x in r.tensors)
-    assert audio.features(audio.encode(none)).count() == 0
+        stored = audio.read_tensors(r.tensors)
+        assert audio.read_wav(r.media)[0] == r.samples and stored.schema.field("tensor").type == pa.fixed_shape_tensor(pa.float32(), [audio.FRAMES, audio.BANDS])
+        x = (np.frombuffer(r.samples, np.uint8).astype(np.float32) - 128) / 128
+        frames = brute_log_mel(brute_resample(x, audio.RATE, audio.TARGET), audio.TARGET)
+        got = audio.tensor_values(stored).reshape(-1, audio.BANDS)
+        assert np.abs(got[: len(frames)] - frames).max() < 0.05 and (got[len(frames) :] == audio.FLOOR).all()
+        begin, end = stored["begin"].to_pylist(), stored["end"].to_pylist()
+        assert begin[0] == 0 and abs(end[-1] - len(x) / audio.RATE) < 0.05 and all(p < q for p, q in zip(begin, end, strict=True))
+        assert [(s.begin, s.end) for s in r.segments] == brute_segments(got[: len(frames)], len(x) / audio.RATE)
+    assert audio.features(audio.store(audio.encode(none))).count() == 0
     x = np.sin(2 * np.pi * 440 * np.arange(8000) / 8000)
     y = audio.resample(x, 8000, 6000)
     assert np.abs(y[50:-50] - np.sin(2 * np.pi * 440 * np.arange(6000) / 6000)[50:-50]).max() < 1e-2
-    t = audio.as_tensors(pa.array([[0.0] * (audio.FRAMES * audio.BANDS)] * 2, pa.list_(pa.float32())))
-    assert t.type.shape == [audio.FRAMES, audio.BANDS] and len(t) == 2
+
+
+def brute_resample(x, rate, target):
+    """Zeros between the samples, the whole low-pass filter, and every so-many-th value of the result."""
+    g = math.gcd(rate, target)
+    up, down = target // g, rate // g
+    n = 2 * audio.TAPS * max(up, down) + 1
+    h = np.sinc((np.arange(n) - n // 2) / max(up, down)) * np.hanning(n + 2)[1:-1]
+    wide = np.zeros(len(x) * up)
+    wide[::up] = x
+    return np.convolve(wide, h * up / h.sum())[n // 2 :: down][: -(-len(x) * up // down)]
+
+
+def brute_log_mel(x, rate):
+    """Each window by a Fourier sum and each band by its triangle, from the definitions."""
+    frames = max(1, 1 + -(-max(0, len(x) - audio.WINDOW) // audio.HOP))
+    x = np.concatenate([x, np.zeros((frames - 1) * audio.HOP + audio.WINDOW - len(x))]) if len(x) < (frames - 1) * audio.HOP + audio.WINDOW else x
+    k = np.arange(audio.WINDOW // 2 + 1)
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(audio.WINDOW), k) / audio.WINDOW)
+    mel = np.linspace(0, 2595 * np.log10(1 + rate / 2 / 700), audio.BANDS + 2)
+    edge = 700 * (10 ** (mel / 2595) - 1) / (rate / 2) * (audio.WINDOW // 2)
+    tri = np.array([[max(0.0, min((i - a) / (b - a), (c - i) / (c - b))) for i in k] for a, b, c in zip(edge, edge[1:], edge[2:], strict=False)])
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(audio.WINDOW) / (audio.WINDOW - 1))
+    power = np.array([np.abs((x[i * audio.HOP : i * audio.HOP + audio.WINDOW] * window) @ wave) ** 2 for i in range(frames)])
+    return np.maximum(np.log(power @ tri.T + 1e-6), audio.FLOOR)
+
+
+def brute_segments(frames, length):
+    """One frame after the other: loud above the upper limit, and from there both ways as far as the lower one."""
+    e = frames.mean(1)
+    if not e.std() > 1e-6:
+        return []
+    z, out, i = (e - e.mean()) / e.std(), [], 0
+    while i < len(z):
+        j = i
+        while j < len(z) and z[j] >= audio.LOWER:
+            j += 1
+        if any(z[i:j] > audio.UPPER):
+            step = audio.HOP / audio.TARGET
+            out.append((i * step, min(length, (j - 1) * step + audio.WINDOW / audio.TARGET)))
+        i = j + 1
+    return out
 
 
 def brute_classes(rows):
