@@ -1,16 +1,17 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The windows of the test items (runs of WIDTH words; an item of fewer is one window) form a hash set that is broadcast
-where its size is checked to be bounded, and joined by hash partitions beyond that. Every window of every document is looked up
-by its hash and verified word by word. A word inside any verified window is hit; documents that are hit, or the spans of
-their hit words, can be removed.
+The hashes of the test items' windows (runs of WIDTH words; an item of fewer is one window) are broadcast in blocks of a bounded size; every
+window of every document, of all lengths in one pass, is looked up there by its hash. Only windows that are found go on: their words are taken from
+the document again and compared with the item's word by word. A word inside any verified window is hit; documents that are hit, or the
+spans of their hit words, can be removed.
 
 Nulls count as empty texts, which have no words and can't be hit; items without words have no window. Rows that repeat an id
-are judged by their own texts.
+are judged by their own texts. Without documents or items nothing is hit; other columns are ignored.
 """
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from .common import fresh, materialise
 
 WIDTH = 10
-#: The hash set is broadcast up to this many windows (of some 200 bytes each).
-BROADCAST_WINDOWS = 500_000
+#: Hashes of windows in a broadcast (of some 24 bytes each, in the JVM); documents are read once for each such block.
+BLOCK_WINDOWS = 2_000_000
+#: Characters of the windows, and documents that are found, up to which they are broadcast for the comparison; beyond, both are joined by their keys.
+BROADCAST_CHARACTERS, BROADCAST_DOCUMENTS = 64 << 20, 500_000
 #: What stands between words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -38,28 +41,54 @@ def windows_of(w: Column, width: Column | int) -> Column:
     return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.slice(w, i, n))).otherwise(F.array().cast("array<array<string>>"))
 
 
+def hashed(codes: Sequence[Column]) -> Column:
+    """The hash of a window from its words' hashes; nulls at its end don't count."""
+    return F.xxhash64(*codes)
+
+
 def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(window, hash, length, items) of each distinct window, with the sorted ids of its items as strings."""
     w = items.select(F.col(item_col).cast("string").alias("_item"), words(F.col(text_col)).alias("_words")).where(F.size("_words") > 0)
     each = w.select("_item", F.explode(windows_of(F.col("_words"), F.least(F.size("_words"), F.lit(width)))).alias("_window"))
-    return each.groupBy("_window").agg(F.array_sort(F.collect_set("_item")).alias("_items")).select(F.col("_window").alias("_test"), F.xxhash64("_window").alias("_hash"), F.size("_window").alias("_length"), "_items")
+    return each.groupBy("_window").agg(F.array_sort(F.collect_set("_item")).alias("_items")).select(F.col("_window").alias("_test"), hashed([F.xxhash64(F.get("_window", F.lit(j))) if j == 0 else F.when(F.size("_window") > j, F.xxhash64(F.get("_window", F.lit(j)))) for j in range(width)]).alias("_hash"), F.size("_window").alias("_length"), "_items")
 
 
-def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """(_id, _mark, spans, items) of each document that is hit; _mark is a hash of its text."""
     tests = materialise(item_windows(items, item_col, item_text_col, width), "windows")
     lengths = [r["_length"] for r in tests.select("_length").distinct().orderBy("_length").collect()]  # width values at most
-    if tests.count() <= BROADCAST_WINDOWS:
-        tests = F.broadcast(tests)
+    size = tests.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.array_join("_test", " "))).alias("c")).first()
     source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), words(F.col(text_col)).alias("_words"))
+    empty = source.where(F.lit(False)).select("_id", "_mark", F.array().cast("array<struct<begin:int,end:int>>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
+    if not lengths:
+        return empty
+    codes = source.where(F.size("_words") > 0).select("_id", "_mark", F.transform("_words", lambda w: F.xxhash64(w)).alias("_codes"))
+    # a row for each place, with the hashes of the words from there on; null beyond the text
+    shifted = F.arrays_zip(*(F.slice("_codes", j + 1, F.size("_codes")).alias(f"c{j}") for j in range(lengths[-1])))
+    places = codes.select("_id", "_mark", F.posexplode(shifted).alias("at", "_next")).withColumn("at", F.col("at") + 1)
+    window = lambda n: F.when(F.col(f"_next.c{n - 1}").isNotNull(), hashed([F.col(f"_next.c{j}") for j in range(n)]))
+    if len(lengths) == 1:
+        windows = places.select("_id", "_mark", F.lit(lengths[0]).alias("n"), "at", window(lengths[0]).alias("hash"))
+    else:
+        windows = places.select("_id", "_mark", "at", F.inline(F.array(*(F.struct(F.lit(n).alias("n"), window(n).alias("hash")) for n in lengths))))
+    windows = windows.where("hash IS NOT NULL")
+    blocks = max(1, -(-size["n"] // block_windows))
     found = None
-    for n in lengths:
-        each = source.where(F.size("_words") >= n).select("_id", "_mark", F.posexplode(windows_of(F.col("_words"), n)).alias("_at", "_window")).withColumn("_hash", F.xxhash64("_window"))
-        got = each.join(tests, "_hash").where(F.col("_window") == F.col("_test")).select("_id", "_mark", F.struct(F.col("_at").alias("begin"), (F.col("_at") + n).alias("end")).alias("_span"), "_items")
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        found = source.where(F.lit(False)).select("_id", "_mark", F.struct(F.lit(0).alias("begin"), F.lit(0).alias("end")).alias("_span"), F.array(F.lit("")).alias("_items"))
-    return found.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_span")).alias("_spans"), F.collect_set("_items").alias("_sets")).select("_id", "_mark", "_spans", F.array_sort(F.array_distinct(F.flatten("_sets"))).alias("_items"))
+    for k in range(blocks):
+        keys = tests.where(F.pmod("_hash", F.lit(blocks)) == k).select(F.col("_hash").alias("hash")).distinct()
+        part = (windows.where(F.pmod("hash", F.lit(blocks)) == k) if blocks > 1 else windows).join(F.broadcast(keys), "hash", "left_semi")  # about block_windows rows
+        found = part if found is None else found.unionByName(part)
+    by_doc = materialise(found.groupBy("_id", "_mark").agg(F.collect_set(F.struct("n", "at", "hash")).alias("_found")), "found")  # bounded by the document
+    keyed = by_doc.select(F.col("_id").alias("_i"), F.col("_mark").alias("_m"))
+    if keyed.count() <= BROADCAST_DOCUMENTS:
+        keyed = F.broadcast(keyed)
+    texts = source.join(keyed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left_semi").dropDuplicates(["_id", "_mark"])
+    again = texts.join(by_doc.select(F.col("_id").alias("_i"), F.col("_mark").alias("_m"), "_found"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")))
+    read = again.select("_id", "_mark", F.inline(F.transform("_found", lambda f: F.struct(f["hash"].alias("_hash"), f["at"].alias("_at"), f["n"].alias("_n"), F.slice(F.col("_words"), f["at"], f["n"]).alias("_window")))))
+    if (size["c"] or 0) <= BROADCAST_CHARACTERS:
+        tests = F.broadcast(tests)
+    got = read.join(tests, "_hash").where(F.col("_window") == F.col("_test")).select("_id", "_mark", F.struct((F.col("_at") - 1).alias("begin"), (F.col("_at") - 1 + F.col("_n")).alias("end")).alias("_span"), "_items")
+    return got.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_span")).alias("_spans"), F.collect_set("_items").alias("_sets")).select("_id", "_mark", "_spans", F.array_sort(F.array_distinct(F.flatten("_sets"))).alias("_items"))
 
 
 def _covered(spans: Column) -> Column:

@@ -224,7 +224,7 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted((r.doc_id or 0, r.text[0]) for r in got) == [(0, "d"), (1, "a"), (2, "b"), (2, "c")]
 
 
-def test_decontamination(spark, odd, none):
+def test_decontamination(spark, odd, none, monkeypatch):
     items = spark.createDataFrame([("b", "One two three four five six seven eight nine TEN eleven"), ("a", "short item"), ("c", None), ("d", "--")], "item_id string, text string")
     text = "x one two, three four five six seven eight nine ten; ELEVEN z. Short -- item!"
     docs = spark.createDataFrame([(1, text), (1, "clean"), (2, None), (None, "a short item"), (3, "short items")], "doc_id long, text string")
@@ -233,6 +233,11 @@ def test_decontamination(spark, odd, none):
     assert got == {(1, 15): (13, 2, sha("a,b")), (1, 1): (0, 0, sha("")), (2, 0): (0, 0, sha("")), (None, 3): (2, 1, sha("a")), (3, 2): (0, 0, sha(""))}
     assert sorted(r.text or "" for r in decontaminate.remove_documents(docs, items).collect()) == ["", "clean", "short items"]
     assert sorted(r.text or "" for r in decontaminate.remove_spans(docs, items).collect()) == ["", "a", "clean", "short items", "x z!"]
+    for block, characters, documents in ((1, 0, 0), (1, 10**9, 0), (2, 0, 10**9)):  # blocks of windows, and both sides of the switches
+        monkeypatch.setattr(decontaminate, "BROADCAST_CHARACTERS", characters)
+        monkeypatch.setattr(decontaminate, "BROADCAST_DOCUMENTS", documents)
+        again = {(r._id, tuple(map(tuple, r._spans)), tuple(r._items)) for r in decontaminate.hits(docs.union(docs), items, block_windows=block).collect()}
+        assert again == {(1, ((1, 11), (2, 12), (13, 15)), ("a", "b")), (None, ((1, 3),), ("a",))}
     assert decontaminate.report(odd, items).count() == odd.count()
     assert decontaminate.report(none, items).count() == 0 and decontaminate.report(docs, items.limit(0)).where("contaminated").count() == 0
 
