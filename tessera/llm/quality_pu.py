@@ -14,14 +14,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import as_bytes, bounded_batches, held_out
+from .common import as_bytes, bounded_batches, held_out, materialise
 from .words import shingles, word_hashes
 
-#: The most rows of either kind that are learnt from: the rows with the smallest hash of their id.
+#: The most rows of either kind that the networks are fitted on: the rows with the smallest hash of their id. All rows give scale, prior and cut.
 SAMPLE_ROWS = 8000
 THRESHOLD = 0.3
 
+#: Outputs of a network are counted in so many bins for each unit, up to this size of an output.
+BINS, OUTPUTS = 64, 1024
+
 #: Byte classes: other, lower, upper, digit, blank, line end, sentence end, comma, exclaiming, asking, bar, symbol, quote, bracket, link, beyond ASCII.
 _GROUPS = {1: "abcdefghijklmnopqrstuvwxyz", 2: "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 3: "0123456789", 4: " \t", 5: "\n\r", 6: ".", 7: ",;", 8: "!", 9: "?", 10: "|", 11: "#$%&*+=~^@", 12: "'\"`", 13: "()[]{}<>", 14: "/:_-\\"}
 _CLASS = np.zeros(256, np.uint8)
@@ -121,42 +125,30 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def estimate_prior(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
-    """Share of positives among the unlabelled, from both kinds' scores: the least ratio of upper tails."""
-    cuts = np.unique(np.r_[p, u])[::-1]
-    up, uu = np.sort(p), np.sort(u)
-    qp = 1 - np.searchsorted(up, cuts, "left") / len(p)
-    qu = 1 - np.searchsorted(uu, cuts, "left") / len(u)
-    e = np.sqrt(np.log(4 / delta) / 2) * (len(p) ** -0.5 + len(u) ** -0.5)
+    """Share of positives among the unlabelled, from both kinds' counts by bins of rising scores: the least ratio of upper tails."""
+    n_p, n_u = p.sum(), u.sum()
+    if not n_p or not n_u:
+        return 0.5
+    qp, qu = p[::-1].cumsum() / n_p, u[::-1].cumsum() / n_u
+    e = np.sqrt(np.log(4 / delta) / 2) * (n_p**-0.5 + n_u**-0.5)
     ok = qp > 0
     best = np.argmin((qu[ok] + e) / qp[ok])
     return float(np.clip(qu[ok][best] / qp[ok][best], 0.02, 0.98))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, epochs: int = 30, seed: int = 0) -> tuple[Network, float]:
-    """The network of least non-negative risk and the class prior. Logistic loss, so scores are posteriors."""
-    net = Network(N_FEATURES, seed=seed)
-    if not len(positive) or not len(unlabelled):
-        net.constant = 0.5
-        return net, 0.5
-    net.mean = unlabelled.mean(0)
-    net.scale = unlabelled.std(0) + 1e-3
-    p, u = net.scaled(positive), net.scaled(unlabelled)
-    size = 256
-    epochs = max(epochs, 800 * size // max(len(p), len(u), size))
-    if prior is None:
-        first = Network(N_FEATURES, seed=seed + 1)
-        half_p, half_u = len(p) // 2, len(u) // 2
-
-        def against(a: np.ndarray, b: np.ndarray):
-            (ha, za), (hb, zb) = first.forward(a), first.forward(b)
-            ga, gb = first.slopes(a, ha, -_sigmoid(-za) / len(a)), first.slopes(b, hb, _sigmoid(zb) / len(b))
-            return [x + y for x, y in zip(ga, gb, strict=True)]
-
-        if half_p and half_u:
-            _adam(first, _rounds(p[:half_p], u[:half_u], max(5, epochs // 4), size, seed), against, decay=1e-3)
-            prior = estimate_prior(first.forward(p[half_p:])[1], first.forward(u[half_u:])[1])
-        else:
-            prior = 0.5
+def rank(net: Network, p: np.ndarray, u: np.ndarray, epochs: int, size: int, seed: int) -> None:
+    """Fit net to tell positives from unlabelled rows."""
+
+    def against(a: np.ndarray, b: np.ndarray):
+        (ha, za), (hb, zb) = net.forward(a), net.forward(b)
+        ga, gb = net.slopes(a, ha, -_sigmoid(-za) / len(a)), net.slopes(b, hb, _sigmoid(zb) / len(b))
+        return [x + y for x, y in zip(ga, gb, strict=True)]
+
+    _adam(net, _rounds(p, u, epochs, size, seed), against, decay=1e-3)
+
+
+def minimise(net: Network, p: np.ndarray, u: np.ndarray, prior: float, epochs: int, size: int, seed: int) -> None:
+    """Fit net to the least non-negative risk. Logistic loss, so scores are posteriors."""
 
     def risk(a: np.ndarray, b: np.ndarray):
         (ha, za), (hb, zb) = net.forward(a), net.forward(b)
@@ -168,48 +160,111 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
         gp = net.slopes(a, ha, -prior * _sigmoid(-za) / len(a))
         return [x + y - z for x, y, z in zip(gp, gu, gn, strict=True)]
 
-    _adam(net, _rounds(p, u, epochs, size, seed + 2), risk, decay=1e-3)
-    net.cut = valley(net.forward(p)[1].astype(float), net.forward(u)[1].astype(float), prior)
-    return net, prior
+    _adam(net, _rounds(p, u, epochs, size, seed), risk, decay=1e-3)
 
 
-def valley(p: np.ndarray, u: np.ndarray, prior: float) -> float:
-    """The output that separates the classes: the least dense place between the likely negatives (the lower half of the
-    share of negatives among the unlabelled) and the lower edge of the trusted positives."""
-    low, high = np.quantile(u, (1 - prior) / 2), np.quantile(p, 0.01)
+def valley(z: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> float:
+    """The output that separates the classes, from both kinds' counts at rising outputs z: the least dense place between the
+    likely negatives (the lower half of the share of negatives among the unlabelled) and the lower edge of the trusted positives."""
+    at = lambda n, q: z[min(np.searchsorted(n.cumsum(), q * n.sum()), len(z) - 1)]
+    low, high = at(u, (1 - prior) / 2), at(p, 0.01)
     if high <= low:
         return float(high)
-    grid, both = np.linspace(low, high, 101), np.r_[p, u]
-    width = (high - low) / 16
-    dense = np.array([np.exp(-0.5 * ((both - g) / width) ** 2).sum() for g in grid])
+    grid, width = np.linspace(low, high, 101), (high - low) / 16
+    dense = np.array([np.exp(-0.5 * ((z - g) / width) ** 2) @ (p + u) for g in grid])
     return float(grid[np.flatnonzero(dense <= dense.min() * 1.05 + 1e-9)].mean())
 
 
+def labelled(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, quality) of the rows with a label, one for each id."""
+    return labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").alias("_q"))
+
+
 def sample_ids(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id") -> DataFrame:
     """(id, positive): at most rows trusted positives and as many unlabelled rows; none that is held out."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").alias("_q"))
+    known = labelled(labels, id_col)
     ids = docs.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull() & ~held_out("_id")).distinct()
     joined = ids.join(known, "_id", "left")
     some = lambda cond, kind: joined.where(cond).orderBy(F.xxhash64("_id"), "_id").limit(rows).select("_id", F.lit(kind).alias("_positive"))
     return some(F.col("_q") == 1, True).unionByName(some(F.col("_q").isNull(), False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[Network, float]:
-    """Learn from a bounded sample; only its feature vectors reach the driver."""
-    bounded_batches(docs.sparkSession)
-    picked = F.broadcast(sample_ids(docs, labels, rows, id_col))  # at most 2 * rows ids
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
+def feature_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, features) of every row."""
 
     def run(it):
         for b in it:
-            x = features(as_bytes(b.column("_text")))
-            yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.string()), b.column("_positive"), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "positive", "x"])
-
-    got = texts.mapInArrow(run, "id string, positive boolean, x binary").toPandas().sort_values(["id", "x"]).drop_duplicates("id")
-    vectors = lambda part: np.stack([np.frombuffer(v, np.float32) for v in part]) if len(part) else np.zeros((0, N_FEATURES), np.float32)
-    order = got.id.map(lambda s: hash_order(s))
-    got = got.iloc[np.argsort(order.to_numpy(), kind="stable")]
-    return fit(vectors(got.x[got.positive]), vectors(got.x[~got.positive]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in features(as_bytes(b.column(1)))], pa.binary())], ["_id", "_x"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _x binary")
+
+
+def _matrix(stored: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(stored), np.float32).reshape(-1, N_FEATURES)
+
+
+def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of each feature over all rows, by partial sums."""
+
+    def run(it):
+        n, total = 0, np.zeros((2, N_FEATURES))
+        for b in it:
+            x = _matrix(b.column(0).to_pylist()).astype(float)
+            n, total = n + len(x), total + [x.sum(0), (x * x).sum(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(N_FEATURES), pa.int32()), pa.array([n] * N_FEATURES, pa.int64()), pa.array(total[0]), pa.array(total[1])], ["feature", "n", "s", "ss"])
+
+    sums = rows.select("_x").mapInArrow(run, "feature int, n long, s double, ss double").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    got = sums.toPandas().sort_values("feature")
+    mean = (got.s / got.n).to_numpy()
+    return mean.astype(np.float32), np.sqrt(np.maximum((got.ss / got.n).to_numpy() - mean * mean, 0)).astype(np.float32)
+
+
+def output_counts(rows: DataFrame, known: DataFrame, net: Network, without: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The network's outputs in bins, and how many of all trusted positives and of all unlabelled rows lie in each; held-out rows
+    and the ids of without are not counted. Rows of one id are counted before they meet its label."""
+
+    @F.arrow_udf("int")
+    def output_bin(x: pa.Array) -> pa.Array:
+        z = net.forward(net.scaled(_matrix(x.to_pylist())))[1]
+        return pa.array(np.rint(np.clip(z, -OUTPUTS, OUTPUTS) * BINS).astype(np.int32))
+
+    binned = rows.where(~held_out("_id")).select("_id", output_bin("_x").alias("_bin")).groupBy("_id", "_bin").count()
+    if without is not None:
+        binned = binned.join(F.broadcast(without), "_id", "left_anti")
+    kinds = binned.join(known, "_id", "left").where(F.col("_q").isNull() | (F.col("_q") == 1)).groupBy("_bin")
+    got = kinds.agg(F.sum(F.when(F.col("_q") == 1, F.col("count")).otherwise(0)).alias("p"), F.sum(F.when(F.col("_q").isNull(), F.col("count")).otherwise(0)).alias("u")).toPandas().sort_values("_bin")
+    return got._bin.to_numpy() / BINS, got.p.to_numpy(float), got.u.to_numpy(float)
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", epochs: int = 30, seed: int = 0) -> tuple[Network, float]:
+    """The network of least non-negative risk and the class prior. Slopes come from a bounded sample, whose feature vectors alone
+    reach the driver; the features' scale comes from all rows, prior and cut from all positives and unlabelled rows that aren't held out."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    known, stored = labelled(labels, id_col), materialise(feature_rows(docs, id_col, text_col), "quality")
+    picked = F.broadcast(sample_ids(docs, labels, rows, id_col))  # at most 2 * rows ids
+    got = stored.join(picked, "_id").toPandas().sort_values(["_id", "_x"]).drop_duplicates("_id")
+    got = got.iloc[np.argsort([hash_order(str(i)) for i in got._id], kind="stable")]
+    positive, unlabelled = got[got._positive.astype(bool)], got[~got._positive.astype(bool)]
+    net, first = Network(N_FEATURES, seed=seed), Network(N_FEATURES, seed=seed + 1)
+    if not len(positive) or not len(unlabelled):
+        net.constant = 0.5
+        return net, 0.5
+    mean, deviation = moments(stored)
+    for n in (net, first):
+        n.mean, n.scale = mean, deviation + np.float32(1e-3)
+    p, u = net.scaled(_matrix(positive._x)), net.scaled(_matrix(unlabelled._x))
+    size, half_p, half_u = 256, len(p) // 2, len(u) // 2
+    epochs, prior = max(epochs, 800 * size // max(len(p), len(u), size)), 0.5
+    if half_p and half_u:
+        rank(first, p[:half_p], u[:half_u], max(5, epochs // 4), size, seed)
+        learnt = [(i,) for part, n in ((positive, half_p), (unlabelled, half_u)) for i in part._id[:n].tolist()]
+        seen = spark.createDataFrame(learnt, T.StructType([T.StructField("_id", docs.schema[id_col].dataType)]))
+        prior = estimate_prior(*output_counts(stored, known, first, seen)[1:])
+    minimise(net, p, u, prior, epochs, size, seed + 2)
+    net.cut = valley(*output_counts(stored, known, net), prior)
+    return net, prior
 
 
 def hash_order(s: str) -> int:

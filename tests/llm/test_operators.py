@@ -387,3 +387,27 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, DIR)
     assert [n for n, _ in corpus_pipeline.STAGES] and 0 < out.count() < 200 and "piece_ids" in out.columns
     assert queries.queries().keys() == {f.__name__ for f in queries.queries().values()}
+
+
+def test_quality_counts_all_rows(spark):
+    """Scale and counts of outputs equal plain loops over nulls, empty texts, repeated ids and rows without an id."""
+    rows = [(i, f"Row {i} says, that {'x ' * (i % 7)}is so." * (1 + i % 3)) for i in range(60)] + [(None, "no id"), (None, None), (7, ""), (7, "other text")] + [(9, "hot")] * 50
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2 if i % 3 else None) for i in range(40)] + [(9, 1), (None, 1)], "doc_id int, quality int")
+    x = quality_pu.features([(t or "").encode() for _, t in rows])
+    stored, known = quality_pu.feature_rows(docs), quality_pu.labelled(labels)
+    mean, deviation = quality_pu.moments(stored)
+    assert np.allclose(mean, x.mean(0, dtype=float), rtol=1e-5, atol=1e-6) and np.allclose(deviation, x.std(0, dtype=float), rtol=1e-4, atol=1e-4)
+    net = quality_pu.Network(quality_pu.N_FEATURES, seed=3)
+    net.mean, net.scale = mean, deviation + np.float32(1e-3)
+    quality = {r._id: r._q for r in known.collect()}
+    held = {r.doc_id for r in docs.where(common.held_out("doc_id")).collect()}
+    left_out = {3, 4, 5}
+    kinds = [None if i in held or i in left_out else quality.get(i, "u") for i, _ in rows]
+    z, p, u = quality_pu.output_counts(stored, known, net, spark.createDataFrame([(i,) for i in left_out], "_id int"))
+    assert (p.sum(), u.sum()) == (kinds.count(1), kinds.count("u")) and None not in quality
+    outputs = net.forward(net.scaled(x))[1]
+    for n, kind in ((p, 1), (u, "u")):
+        assert np.allclose(np.sort(np.repeat(z, n.astype(int))), np.sort(outputs[[k == kind for k in kinds]]), atol=1 / quality_pu.BINS)
+    assert quality_pu.estimate_prior(np.array([0.0, 0, 500]), np.array([300.0, 0, 200])) == 0.4
+    assert 1 < quality_pu.valley(np.arange(5.0), np.array([0.0, 0, 0, 9, 9]), np.array([9.0, 9, 0, 3, 3]), 0.4) < 3
