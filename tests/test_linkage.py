@@ -44,3 +44,16 @@ def test_expected_f_by_hand(spark):
     owners = spark.createDataFrame([(21, 1, "a", 1, 0.9), (22, 1, "a", 0, 0.6), (23, 2, "a", 0, 0.3)], "cand long, s1 long, country string, label int, prob double")
     got = linkage.run(spark, "expected_f", {"one_owner": owners, "floors": spark.createDataFrame([(0.1,)], "param double")})
     assert [r["cand"] for r in got.collect()] == [21]
+
+
+def test_records_with_shuffled_joins(spark):
+    """At 10 kB customers are shuffled by the key of their words: a scalar subquery in that key fails."""
+    t = {t: spark.read.parquet(f"{DIR}/{t}.parquet") for t in linkage.BASE}
+    want = sorted(linkage.run(spark, "raw", t).collect())
+    try:
+        for most in ("10k", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            assert sorted(linkage.run(spark, "raw", t).collect()) == want
+        assert not linkage.run(spark, "raw", t | {"documents": t["documents"].where("lang = 'none'")}).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
