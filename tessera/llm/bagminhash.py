@@ -232,9 +232,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """docs without near duplicates: of each class one row stays, that with the least id (rows without an id come last), of
     rows with one id the first by their hash. Rows are told apart by id and hash, so rows of one id can be in different classes."""
-    key, n = fresh(docs, "_key", "_nth")
+    key, n, k = fresh(docs, "_key", "_nth", "_kept")
     own = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
-    keyed = docs.withColumn(key, own)
-    kept = classes(keyed, key, text_col, least).where(F.col(key) == F.col("class_id")).select(F.col(f"{key}.hash").alias("_h"), F.col(f"{key}.id").alias("_i")).distinct()
-    one = keyed.join(kept, (F.col(f"{key}.hash") == F.col("_h")) & F.col(f"{key}.id").eqNullSafe(F.col("_i")), "left_semi")
+    keyed = docs.withColumn(key, own.cast(f"struct<none:boolean,id:{dict(docs.dtypes)[id_col]},hash:bigint>"))  # as read back, where all can be null: else the join casts
+    kept = classes(keyed, key, text_col, least).where(F.col(key) == F.col("class_id")).select(F.col(key).alias(k)).distinct()
+    one = keyed.join(kept, F.col(key) == F.col(k), "left_semi")  # by the column that rows are numbered by: texts move once
     return one.withColumn(n, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(n) == 1).drop(n, key)

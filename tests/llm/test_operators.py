@@ -224,6 +224,16 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted((r.doc_id or 0, r.text[0]) for r in got) == [(0, "d"), (1, "a"), (2, "b"), (2, "c")]
 
 
+def test_kept_texts_move_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bagminhash.keep_one(common.table(spark, DIR, "documents").limit(50))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "row_number()" in above and "Exchange" not in above
+
+
 def test_decontamination(spark, odd, none, monkeypatch):
     items = spark.createDataFrame([("b", "One two three four five six seven eight nine TEN eleven"), ("a", "short item"), ("c", None), ("d", "--")], "item_id string, text string")
     text = "x one two, three four five six seven eight nine ten; ELEVEN z. Short -- item!"
