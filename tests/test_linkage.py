@@ -57,3 +57,17 @@ def test_records_with_shuffled_joins(spark):
         assert not linkage.run(spark, "raw", t | {"documents": t["documents"].where("lang = 'none'")}).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_halves_as_in_sql(spark):
+    """Halves are rounded as the other engine does: 2.0107085 * 1e6 lies below its half."""
+    rows = [("A", 1, 11, 0.57034503, 0.72072873, 0.71963474, 2.0107085), ("A", 2, 12, 0.5829734, 0.68515898, 0.82795512, 2.0960875), ("A", 3, 11, 0.1234565, -0.1234565, 1.0000005, 1.0000005)]
+    cand = spark.createDataFrame([(*r, 0, 1) for r in rows], "country string, cand long, s1 long, sc_combo double, sc_name double, sc_addr double, score double, rank int, n_pass long")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE cand (country varchar, cand bigint, s1 bigint, sc_combo double, sc_name double, sc_addr double, score double, rank int, n_pass bigint)")
+    con.executemany("INSERT INTO cand VALUES (?, ?, ?, ?, ?, ?, ?, 0, 1)", rows)
+    for name in ("candidates_union", "blocking_partner", "blocking_relative"):
+        want = con.execute(linkage.spelled(linkage.STEPS[name], True).replace("{cand}", "cand"))
+        columns = [c[0] for c in want.description]
+        got = linkage.run(spark, name, {"cand": cand}).select(*columns)
+        assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
