@@ -90,3 +90,23 @@ def test_queries_with_shuffled_joins(spark, tables):
             assert keys or n != "base"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_best_pairs_by_blocks(spark, monkeypatch):
+    """Many blocks and chunks, many equal scores: the same pairs as by the SQL, and no join that makes each pair by a token."""
+    rng = np.random.default_rng(3)
+    rows = sorted({(c, p, int(src * 10**10 + k), int(src), f"t{t}") for c, p, src, k, t in zip(rng.choice(["A", "B"], 3000), rng.choice(["name", "addr"], 3000), rng.integers(1, 4, 3000), rng.integers(0, 150, 3000), rng.integers(0, 60, 3000), strict=True)})
+    rows = [(*r, 0.5 if hash01_of(np.array([i]), 1)[0] < 0.5 else 0.25) for i, r in enumerate(rows)] + [("C", "name", 10**10, 1, "t", 1.0), ("D", "name", 2 * 10**10, 2, "t", 1.0)]
+    schema = "country string, pass string, key long, source int, token string, w double"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE weights (country varchar, pass varchar, key bigint, source int, token varchar, w double)")
+    con.executemany("INSERT INTO weights VALUES (?, ?, ?, ?, ?, ?)", rows)
+    con.execute("CREATE TABLE cosine AS " + linkage.spelled(linkage.STEPS["cosine"], True).replace("{weights}", "weights"))
+    want = sorted(con.execute("SELECT country, pass, cand, s1, score, rank FROM (" + linkage.spelled(linkage.STEPS["best"], True).replace("{cosine}", "cosine") + ") x").fetchall())
+    for block, pairs in ((250_000, 300_000), (100, 50), (100, 1)):
+        monkeypatch.setattr(linkage.blocking, "BLOCK", block)
+        monkeypatch.setattr(linkage.blocking, "PAIRS", pairs)
+        got = linkage.run(spark, "best", {"weights": spark.createDataFrame(rows, schema)})
+        assert sorted(map(tuple, got.select("country", "pass", "cand", "s1", "score", "rank").collect())) == want
+    assert "FlatMapGroupsInArrow" in got._jdf.queryExecution().toString() and "SortMergeJoin" not in got._jdf.queryExecution().toString()
+    assert not linkage.run(spark, "best", {"weights": spark.createDataFrame([], schema)}).collect()
