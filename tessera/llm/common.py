@@ -9,13 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records in one Arrow batch. Texts may be long, so batches are kept far below Spark's 10,000 rows.
-BATCH_ROWS = 1000
+#: Records and bytes in one Arrow batch. Texts and multisets may be long, so batches are kept far below Spark's 10,000 rows and 64 MB.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory of Python workers: fewer rows in an Arrow batch than Spark's default."""
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, max_bytes: int = BATCH_BYTES) -> None:
+    """Bound the memory of Python workers, and what the JVM holds outside its heap for them: fewer rows and bytes in an Arrow
+    batch than Spark's default. A batch ends with the row that reaches either bound, so no row is cut."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{max_bytes}b")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

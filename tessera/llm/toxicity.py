@@ -136,7 +136,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col:
 def _signatures(it):
     """The signature of each text, 32 bits of each register."""
     for b in it:
-        for part in record_batches([b], 2 << 20):
+        for part in record_batches([b], 1 << 20):
             h, offsets = word_hashes(as_bytes(part.column("_text")))
             reg = signatures([bag(h[i:j])[:2] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], BANDS * ROWS)
             reg = (reg.view(np.uint64) >> np.uint64(20)).astype(np.uint32)
@@ -182,8 +182,8 @@ def merged(some: DataFrame) -> DataFrame:
 
 
 def _patterns(it):
-    """Of each batch: how many texts of either label have this word, or a longer word with this beginning."""
-    for b in it:
+    """Of each slice of a batch: how many texts of either label have this word, or a longer word with this beginning."""
+    for b in record_batches(it, 1 << 19):
         count: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(as_texts(b.column("_text")), b.column("_toxic").to_pylist(), strict=True):
             found = set()

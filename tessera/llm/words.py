@@ -10,7 +10,7 @@ import numpy as np
 WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

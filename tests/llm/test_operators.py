@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import audio, bagminhash, common, decontaminate, html_paths, pieces, quality_pu, queries, token_counts, toxicity, warc
+from tessera.llm import audio, bagminhash, common, decontaminate, html_paths, pieces, quality_pu, queries, token_counts, toxicity, warc, words
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DIR = "/root/testdata/sf0.001"
@@ -182,6 +182,35 @@ def test_near_duplicates(spark, odd, none):
     assert bagminhash.classes(none).count() == 0 and bagminhash.keep_one(none).count() == 0
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    def sizes(it):
+        for b in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    row = 1 << 20
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    bagminhash.classes(spark.createDataFrame([], DOCS))  # operators set the bound themselves
+    got = spark.range(0, 20, 1, 1).select(F.expr(f"unhex(repeat('ab', {row}))").alias("x")).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 20 and max(r.size for r in got) <= common.BATCH_BYTES + 2 * row
+
+
+def test_patterns_are_counted_in_small_slices():
+    texts = [f"{w} " * 100_000 + "shared" for w in ("alpha", "bravo", "delta")]
+    got = list(toxicity._patterns([pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1, 0, 0])], ["_text", "_toxic"])]))
+    count = Counter()
+    for b in got:
+        for r in b.to_pylist():
+            count[r["pattern"]] += np.array([r["toxic"], r["clean"]])
+    assert len(got) == 3 and count[" shared "].tolist() == [1, 2] and count[" alpha "].tolist() == [1, 0] and count[" delta "].tolist() == [0, 1]
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = [b"one two " * 9, b"", b"x" * 100, b"Three  four"]
+    whole = words.word_hashes(texts)
+    monkeypatch.setattr(words, "_BLOCK", 16)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, words.word_hashes(texts), strict=True))
+
+
 def test_signatures_are_unbiased():
     r, estimates, true = np.random.default_rng(1), [], []
     for _ in range(30):
