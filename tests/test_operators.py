@@ -156,6 +156,20 @@ def test_trees_know_what_they_are_shown(spark, tmp_path):
     assert not none.folds and flat.where("prob <> 0").count() == 0
 
 
+def test_models_learn_from_all_pairs(spark, monkeypatch):
+    class Shown(Exception):
+        pass
+
+    def fit(train, valid, columns, s):
+        raise Shown(train.count(), valid.count())
+
+    monkeypatch.setattr(models, "fit", fit)
+    pairs = spark.range(8_000_000).selectExpr("id AS cand", "id AS s1", "'x' AS country", "CAST(id % 5 AS int) AS fold", "CAST(id % 3 = 0 AS int) AS label", "CAST(id AS double) AS a")
+    with pytest.raises(Shown) as shown:
+        models.cross_validated(pairs)
+    assert shown.value.args == (6_400_000, 1_600_000)
+
+
 def test_a_stream_is_blocked_like_a_table(spark, tmp_path):
     rows = [("S1-1", 1, 1, "x", "Alto Beta Co", "12 Oak Street"), ("S2-1", 21, 2, "x", "Beta Alto", "12 Oak St"), ("S3-1", 31, 3, "x", "Gamma", "9 Elm")]
     schema = "entity_id string, key long, source int, country string, business_name string, business_address string"
