@@ -15,13 +15,18 @@ import numpy as np
 class Merges:
     """rank(a, b): the order in which the neighbours a and b merge, or None. Tokens and symbols are strings."""
 
+    KEEP = 50_000  # neighbours whose answer is remembered, twice: those asked lately, and those before these
+
     def __init__(self, tokens: set[str], rank: Callable[[str, str], int | None]):
         self.rank = rank
         self.known: dict[tuple[str, str], bool] = {}
+        self.older: dict[tuple[str, str], bool] = {}
         self.edges: tuple[dict[str, list[tuple[int, str]]], ...] = ({}, {})  # [0] and [-1]
+        self.same: dict = {}  # equal entries of edges are one object
         self.tokens = {t for t in tokens if len(t) == 1 or self.whole(t)}
         self.beginnings = {t[:n] for t in self.tokens for n in range(1, len(t))}
         self.longest = max(map(len, self.tokens), default=1)
+        self.same.clear()
 
     def steps(self, text: str) -> Iterator[tuple[int, int, list[str]]]:
         """The definition: merge the neighbours of least rank, leftmost first, until none merge. Rank, place, parts then."""
@@ -54,7 +59,7 @@ class Merges:
         parts = [""] * 2
         for r, _, parts in self.steps(token):
             for end in (0, -1):
-                sides[end].append((r, parts[end]))
+                sides[end].append(self.same.setdefault(x := (r, parts[end]), x))
         if len(parts) == 1:
             self.edges[0][token], self.edges[-1][token] = sides
         return len(parts) == 1
@@ -76,8 +81,12 @@ class Merges:
         found = self.known.get(key)
         if found is not None:
             return found
-        if len(self.known) > 2_000_000:
-            self.known.clear()
+        if len(self.known) >= self.KEEP:
+            self.known, self.older = {}, self.known
+        found = self.older.get(key)
+        if found is not None:
+            self.known[key] = found
+            return found
         ends, begins, i, j = self.edge(a, -1), self.edge(b, 0), 0, 0
         x, y = a[-1], b[0]
         across = self.rank(x, y)
@@ -108,7 +117,7 @@ class CountTransducer:
     tokens less than now. Memory is bounded: past MOST states the machine starts anew (results are the same).
     """
 
-    MOST = 1_000_000
+    MOST = 250_000
 
     def __init__(self, merges: Merges):
         self.m = merges
@@ -117,6 +126,7 @@ class CountTransducer:
     def _reset(self) -> None:
         start = ("", ((None, 0),))
         self.ids, self.states, self.next = {start: 0}, [start], [{}]
+        self.same: dict = {}  # equal places are one object
 
     def step(self, state: int, symbol: str) -> tuple[int, int]:
         """The next state and the number of tokens that the symbol adds (below 0 where tokens merge)."""
@@ -138,8 +148,9 @@ class CountTransducer:
         keep = len(grown)
         while keep and grown[-keep:] not in m.beginnings:
             keep -= 1
-        places = [(p, k + change) for p, k in past] + [(token, 0)]
-        key = (grown[len(grown) - keep :], tuple(places[-keep - 1 :]))
+        same = self.same.setdefault
+        places = [same(x := (p, k + change), x) for p, k in past[len(past) - keep :]] + [same(x := (token, 0), x)]
+        key = (grown[len(grown) - keep :], tuple(places))
         at = self.ids.get(key)
         if at is None:
             at = self.ids[key] = len(self.states)
@@ -262,7 +273,7 @@ class Lattice:
 
     def shortest(self, text: str) -> list[str]:
         """The tokens of one text."""
-        kinds, fits, known, n = self.kinds, self.m.fits, self.m.known, len(text)
+        kinds, fits, n = self.kinds, self.m.fits, len(text)
         last: list[str | None] = [None] * (n + 1)
         for i in range(n):
             before, t = last[i], ""
@@ -270,8 +281,7 @@ class Lattice:
                 t += text[j]
                 kind = kinds.get(t, 0)
                 if (kind & 2 or j == i) and last[j + 1] is None:
-                    ok = known.get((before, t)) if before is not None else True  # type: ignore[arg-type]
-                    if ok or ok is None and fits(before, t):  # type: ignore[arg-type]
+                    if before is None or fits(before, t):
                         last[j + 1] = t
                 if not kind & 1:
                     break

@@ -126,8 +126,10 @@ def _unicode_bytes() -> dict[str, int]:
 class Counter:
     """Counts tokens as the library does with the tokenizer file at path."""
 
-    #: Pieces whose counts are kept in memory.
-    KEEP = 2_000_000
+    #: Pieces whose counts are kept in memory, twice: those met lately, and those met before these.
+    KEEP = 300_000
+    #: Bytes of texts that are counted at once.
+    SLICE = 256 << 10
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -150,6 +152,7 @@ class Counter:
         self.machine = CountTransducer(Merges(tokens, lambda a, b: ranks.get((a, b))))
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.known: dict[int, int] = {}
+        self.older: dict[int, int] = {}
 
     def piece(self, text: str) -> int:
         b = text.encode()
@@ -193,13 +196,14 @@ class Counter:
             run = np.r_[np.uint64(0), np.cumsum(terms, dtype=np.uint64)]
             keys = mix(run[ends] - run[begins])
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) > self.KEEP:
-            self.known.clear()
-        known, counts = self.known, np.empty(len(distinct), np.int64)
+        known, older, counts = self.known, self.older, np.empty(len(distinct), np.int64)
         for j, (k, i) in enumerate(zip(distinct.tolist(), first.tolist(), strict=True)):
             n = known.get(k)
             if n is None:
-                n = known[k] = self.piece(text[begins[i] : ends[i]])
+                if len(known) >= self.KEEP:
+                    known, older = self.known, self.older = {}, known
+                n = older.get(k)
+                known[k] = n = self.piece(text[begins[i] : ends[i]]) if n is None else n
             counts[j] = n
         edges = np.cumsum([0, *(len(p) + 1 for p in parts)])
         which = np.asarray(owner)[np.searchsorted(edges, begins, "right") - 1]
@@ -222,7 +226,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(it):
         c = counter(path)
-        for b in record_batches(it, 2 << 20):
+        for b in record_batches(it, c.SLICE):
             texts = as_texts(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x.encode()) for x in texts], pa.int64()), pa.array(c.count(texts), pa.int64())], [id_col, "n_bytes", "n_tokens"])
 

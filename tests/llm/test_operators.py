@@ -41,6 +41,22 @@ def test_token_counts(spark, odd, none):
     assert token_counts.counter(path).count(texts).tolist() == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
 
 
+def test_what_is_remembered_of_tokens_is_bounded(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    c = token_counts.Counter(path)
+    monkeypatch.setattr(token_counts.Counter, "KEEP", 50)
+    monkeypatch.setattr(type(c.machine.m), "KEEP", 40, raising=False)
+    r = np.random.default_rng(5)
+    texts = [" ".join("".join(r.choice(list("abcdeimnorst'1"), r.integers(1, 9))) for _ in range(300)) for _ in range(3)]
+    t = Tokenizer.from_file(path)
+    for _ in range(2):
+        assert c.count(texts).tolist() == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+        assert len(c.known) <= 50 and len(c.older) <= 50
+        assert len(c.machine.m.known) <= 40 and len(c.machine.m.older) <= 40
+
+
 def test_state_maps_compose():
     r = np.random.default_rng(0)
     maps = r.integers(0, 7, (50, 7)).astype(np.uint8)
