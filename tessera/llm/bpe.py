@@ -7,6 +7,7 @@ the longest beginning of a token that the text ends with, so its states are fini
 """
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -207,6 +208,12 @@ class Lattice:
         self.token = np.full(len(nodes), -1, np.int32)
         for t in self.m.tokens:
             self.token[nodes[t]] = self.number[t]
+        self.signs = np.zeros(sys.maxunicode + 1, np.int32)  # by code point
+        self.signs[self.symbols] = np.arange(1, width)
+        self.root = np.zeros(width, np.int32)  # the nodes after a first sign, 0 if there is none
+        for a, i in arcs:
+            if a < width:
+                self.root[a] = i
         self.single = np.array([self.OTHER, *(self.number[chr(c)] for c in self.symbols)], np.int32)
 
     def _neighbours(self) -> None:
@@ -298,9 +305,7 @@ class Lattice:
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         lengths = np.array([len(t) for t in texts])
         begin = np.cumsum(lengths) - lengths
-        place = np.searchsorted(self.symbols, points)
-        place[place == len(self.symbols)] = 0
-        sign = np.where(self.symbols[place] == points, place + 1, 0).astype(np.int64) if len(self.symbols) else np.zeros(len(points), np.int64)
+        sign = self.signs[points].astype(np.int64)
         owner = np.repeat(np.arange(len(texts)), lengths)
         stop = (begin + lengths)[owner]
         # arcs of the lattice: all places step through the lexicon at once
@@ -308,10 +313,14 @@ class Lattice:
         at, node, n = np.arange(len(points)), np.zeros(len(points), np.int64), 0
         arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(at):
-            key = node * width + sign[at + n]
-            edge = np.minimum(np.searchsorted(self.arc, key), max(len(self.arc) - 1, 0))
-            hit = self.arc[edge] == key if len(self.arc) else np.zeros(len(at), bool)
-            node = np.where(hit, self.child[edge], 0) if len(self.arc) else node
+            if n == 0:
+                node = self.root[sign].astype(np.int64)
+                hit = node > 0
+            else:
+                key = node * width + sign[at + n]
+                edge = np.minimum(np.searchsorted(self.arc, key), len(self.arc) - 1)
+                hit = self.arc[edge] == key
+                node = np.where(hit, self.child[edge], 0).astype(np.int64)
             token = np.where(hit, self.token[node], -1)
             if n == 0:  # a symbol that isn't a token is read as itself
                 token = np.where(token < 0, self.single[sign[at]], token)

@@ -54,10 +54,27 @@ def _fields(data: bytes) -> Iterable[tuple[int, int | bytes]]:
         i += size
 
 
+class Slots(dict[str, int]):
+    """The places of parts. A part that is met first gets the next place; one of more than `most` characters gets a place below 0 and isn't kept."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.new: list[str] = []
+        self.longs: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        if len(part) > self.most:
+            self.longs.append(part)
+            return -len(self.longs)
+        self[part] = at = len(self)
+        self.new.append(part)
+        return at
+
+
 class Pieces:
-    """The compiled model at path."""
+    """The compiled model at path. Parts have plain blanks, so that most take one byte a character; searches have BLANK."""
 
-    KEEP, LONG, BLOCK = 800_000, 64, 1 << 20
+    KEEP, LONG, BLOCK = 400_000, 64, 1 << 19
 
     def __init__(self, path: str):
         import struct
@@ -89,8 +106,28 @@ class Pieces:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # parts met so far, and where their ids are
+        self.known = Slots(self.LONG)  # parts met so far, and where their ids are
         self.begins, self.sizes, self.store, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
+        self.met = np.zeros(1024, bool)  # whether a part has come again after the block that it was met in
+
+    def _forget_rare(self) -> None:
+        """Only parts that have come again stay, if these are at most half of KEEP."""
+        again = np.flatnonzero(self.met[: len(self.known)])
+        words = [w for w, m in zip(self.known, self.met.tolist(), strict=False) if m]
+        begins, n, store = self.begins[again], self.sizes[again], self.store
+        self._forget()
+        if 0 < len(again) <= self.KEEP // 2:
+            ends = np.cumsum(n)
+            self.known.update(zip(words, range(len(words)), strict=True))
+            self._room(len(again), int(ends[-1]))
+            self.begins[: len(again)], self.sizes[: len(again)], self.used = ends - n, n, int(ends[-1])
+            self.store[: self.used] = store[np.arange(self.used) - np.repeat(ends - n - begins, n)]
+
+    def _room(self, parts: int, ids: int) -> None:
+        while parts > len(self.begins):
+            self.begins, self.sizes, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.sizes, self.met))
+        while ids > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
 
     def parts(self) -> str:
         """A pattern of the parts that no piece goes across: words, and within them letters or digits before a mark."""
@@ -102,11 +139,11 @@ class Pieces:
                     before[b].add(a)
         marks = ["[" + re.escape("".join(c for c, s in before.items() if not s)) + "]"]
         marks += [f"(?<![{re.escape(''.join(sorted(s)))}])" + re.escape(c) for c, s in before.items() if s]
-        return rf"{BLANK}*+[^\W_]++(?={'|'.join(marks)})|{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+" + (f"|{line}" if line else "")
+        return rf" *+[^\W_]++(?={'|'.join(marks)})| +[^ {line}]*|[^ {line}]+" + (f"|{line}" if line else "")
 
     def search(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts, and how many each has."""
-        token, point, n = self.lattice.shortest_of(parts)
+        token, point, n = self.lattice.shortest_of([x.replace(" ", BLANK) for x in parts])
         ids = self.ids_of[token]
         other = ids < 0
         if not other.any():
@@ -120,39 +157,38 @@ class Pieces:
 
     def _long(self, part: str) -> np.ndarray:
         ids: list[int] = []
-        for t in self.lattice.shortest(part):
+        for t in self.lattice.shortest(part.replace(" ", BLANK)):
             i = self.ids.get(t)
             ids.extend([i] if i is not None else [self.bytes[b] for b in t.encode()])
         return np.array(ids, np.int32)
 
-    def _learn(self, new: list[str]) -> None:
-        """Put the ids of parts that aren't known yet into the store."""
-        while new:
+    def _learn(self, new: list[str], at: int) -> None:
+        """Put the ids of parts that aren't known yet into the store, those of the first at place `at`."""
+        first = 0
+        while first < len(new):
             some, size = [], 0
-            while new and size < self.BLOCK // 2:
-                some.append(new.pop())
-                size += len(some[-1])
+            while first < len(new) and size < self.BLOCK // 2:
+                some.append(new[first])
+                size += len(new[first])
+                first += 1
             ids, n = self.search(some)
-            at, k = len(self.known), len(some)
-            while at + k > len(self.begins):
-                self.begins, self.sizes = np.concatenate([self.begins, np.zeros_like(self.begins)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            while self.used + len(ids) > len(self.store):
-                self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+            k = len(some)
+            self._room(at + k, self.used + len(ids))
             self.store[self.used : self.used + len(ids)] = ids
             self.begins[at : at + k], self.sizes[at : at + k] = self.used + np.cumsum(n) - n, n
             self.used += len(ids)
-            self.known.update(zip(some, range(at, at + k), strict=True))
+            at += k
 
     def _blocks(self, texts: list[str]) -> Iterable[tuple[list[int], list[int], list[str]]]:
         """Texts' numbers, how many parts each has, and all parts, some BLOCK characters at a time; long texts go in pieces."""
         owners, counts, parts, size = [], [], [], 0
         for k, text in enumerate(texts):
-            normal = (BLANK if self.prefix else "") + text.replace(" ", BLANK) if text else ""
+            normal = (" " if self.prefix else "") + text.replace(BLANK, " ") if text else ""
             at = 0
             while at < len(normal):
                 end = at + self.BLOCK
                 if end < len(normal):  # where a blank follows something else a part begins
-                    while 0 < (end := normal.find(BLANK, end)) and normal[end - 1] == BLANK:
+                    while 0 < (end := normal.find(" ", end)) and normal[end - 1] == " ":
                         end += 1
                     end = len(normal) if end < 0 else end
                 piece = normal if at == 0 and end >= len(normal) else normal[at:end]
@@ -172,15 +208,20 @@ class Pieces:
         """The ids of all texts, and how many each has."""
         out, totals = [], np.zeros(len(texts), np.int64)
         for owners, counts, parts in self._blocks(texts):
-            known = self.known
-            new = [w for w in set(parts) if w not in known]
-            if len(known) + len(new) > self.KEEP:
+            if len(self.known) >= self.KEEP:
+                self._forget_rare()
+            known, at = self.known, len(self.known)
+            slot = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+            try:
+                longs = {w: self._long(w) for w in set(known.longs)}
+                self._learn(known.new, at)
+            except BaseException:  # places without ids must not stay
                 self._forget()
-                known, new = self.known, list(set(parts))
-            longs = {w: self._long(w) for w in new if len(w) > self.LONG}
-            self._learn([w for w in new if len(w) <= self.LONG])
-            slot = np.fromiter((known.get(w, -1) for w in parts) if longs else map(known.__getitem__, parts), np.int64, len(parts))
-            begin, n = self.begins[slot], self.sizes[slot]
+                raise
+            known.new, known.longs = [], []
+            self.met[slot[(slot >= 0) & (slot < at)]] = True
+            kept = np.maximum(slot, 0)
+            begin, n = self.begins[kept], self.sizes[kept]
             if longs:
                 where = np.flatnonzero(slot < 0)
                 n[where] = [len(longs[parts[i]]) for i in where]

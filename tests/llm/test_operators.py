@@ -101,6 +101,20 @@ def test_the_shortest_path_is_the_library_s(monkeypatch):
     assert (fit == [p.lattice.m.fits(names[x], names[y]) for x, y in zip(a, b, strict=True)]).all() and (fit == p.lattice.fits(a, b)).all()
 
 
+def test_a_part_is_looked_up_once(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, p = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Pieces(path)
+    texts = ["the cat sat on the mat " * 40, "ä" * 3000 + " the cat", "b" * 100 + "▁" + "c" * 100 + " the"] + ["x" * (70 + i) for i in range(1500)]  # more long parts than places
+    for _ in range(2):
+        ids, n = p.encode_all(texts)
+        ends = np.cumsum(n)
+        assert [ids[a:b].tolist() for a, b in zip(ends - n, ends, strict=True)] == [sp.encode(t) for t in texts]
+        assert sorted(p.known.values()) == list(range(len(p.known))) and not p.known.new and not p.known.longs
+        assert all(w.isascii() and len(w) <= p.LONG for w in p.known)  # blanks take one byte
+
+
 def test_audio(spark, odd, none):
     for r in audio.features(audio.encode(odd)).join(odd.select("doc_id", "text"), "doc_id").collect():
         t = (r.text or "").encode()
