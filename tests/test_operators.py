@@ -4,6 +4,8 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tessera import streaming
@@ -170,6 +172,48 @@ def test_models_learn_from_all_pairs(spark, monkeypatch):
     assert shown.value.args == (6_400_000, 1_600_000)
 
 
+def test_borders_are_those_of_all_rows(spark):
+    def by_hand(values, bins):
+        kinds, counts = np.unique(values, return_counts=True)
+        middle = ((kinds[1:] + kinds[:-1]) / 2).tolist()
+        if len(kinds) <= bins:
+            return middle
+        upto, out = counts.cumsum(), []
+        for k in range(1, len(kinds)):  # whole numbers: the target is (borders so far + 1) * rows / bins
+            target = (len(out) + 1) * len(values)
+            if abs(upto[k - 1] * bins - target) < abs(upto[k] * bins - target):
+                out.append(middle[k - 1])
+        return out
+
+    r = np.random.default_rng(5)
+    n = 30_000
+    columns = {"even": r.random(n), "heavy": np.where(r.random(n) < 0.7, 0.25, r.random(n).round(3)), "skew": np.exp(r.normal(size=n) * 3).round(2), "signs": r.normal(size=n), "few": r.integers(0, 6, n) * 1.0, "same": np.ones(n)}
+    table = spark.createDataFrame(np.stack(list(columns.values()), axis=1).tolist(), list(columns))
+    for bins in (2, 7, 32, 255):
+        assert models.borders(table, list(columns), bins) == [by_hand(v, bins) for v in columns.values()]
+    near = spark.createDataFrame([(x,) for x in (1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 2), math.inf)], "a double")
+    assert [r["_bin0"] for r in models._bins(["a"], models.borders(near, ["a"], 9))[0].transform(near).collect()] == [0, 1, 1, 2]
+
+
+def test_few_rows_are_learnt_from_as_by_the_learner_alone(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, i, "x", i % 5, int(a + b * b > 0.9), float(a), float(round(b, 1))) for i, (a, b) in enumerate(r.random((6000, 2)))]
+    table = spark.createDataFrame(rows, "cand long, s1 long, country string, fold int, label int, a double, b double").cache()
+    s = models.Settings(trees=3, depth=4, bins=32, rows_share=1.0, least_rows=5, columns_share="all")
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="x").transform(table.withColumn("own", F.expr("fold = 2")).withColumn("label", F.expr("double(label)")))
+    alone = GBTClassifier(featuresCol="x", maxIter=3, maxDepth=4, maxBins=32, stepSize=0.1, featureSubsetStrategy="all", minInstancesPerNode=5, validationIndicatorCol="own", validationTol=0.0, seed=42).fit(vectors)
+    want = {p.cand: round(p.probability[1], 6) for p in alone.transform(vectors).where("own").collect()}
+    train, own = table.where("fold <> 2"), table.where("fold = 2")
+    got = {p.cand: p.prob for p in models._with_prob(own, models.fit(train, own, ["a", "b"], s), "prob").collect()}
+    assert got == pytest.approx(want, abs=2e-6) and len(set(got.values())) > 5
+
+
+def test_bins_come_from_all_pairs(spark):
+    pairs = spark.range(300_000).selectExpr("id AS cand", "id AS s1", "'x' AS country", "CAST(id % 5 AS int) AS fold", "CAST(id % 60001 = 7 AS int) AS label", "CAST(id % 60001 = 7 AS double) AS a")
+    oof, _ = models.cross_validated(pairs, models.Settings(trees=2, depth=2, bins=32, rows_share=1.0, least_rows=1, columns_share="all"))
+    assert oof.where("label = 0").agg(F.max("prob")).first()[0] < oof.where("label = 1").agg(F.min("prob")).first()[0]
+
+
 def test_a_stream_is_blocked_like_a_table(spark, tmp_path):
     rows = [("S1-1", 1, 1, "x", "Alto Beta Co", "12 Oak Street"), ("S2-1", 21, 2, "x", "Beta Alto", "12 Oak St"), ("S3-1", 31, 3, "x", "Gamma", "9 Elm")]
     schema = "entity_id string, key long, source int, country string, business_name string, business_address string"
